@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import decontaminate, line_dedup
 
 QUERIES = {
+    "op9_decontaminate": decontaminate.query,
     "op10_line_dedup": line_dedup.query,
 }
 
 SQL = {
+    "op9_decontaminate": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }
