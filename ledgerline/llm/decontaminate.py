@@ -36,7 +36,8 @@ def words_column(text: Column) -> Column:
 
 
 def _seeds(words: Column, mask: tuple[int, ...]) -> Column:
-    """The hash of each placing of the mask, by position."""
+    """The hash of each placing of the mask, by position. To be exploded with posexplode_outer: for an inner explode the
+    optimizer derives a filter on the array's size and computes all the hashes once more for it."""
     n = F.size(words) - mask[-1]
     at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + o) for o in mask]))
@@ -61,16 +62,31 @@ def _test_seeds(benchmark: DataFrame, mask: tuple[int, ...], least: int, most: i
 
 
 def _verified(hits: DataFrame) -> DataFrame:
-    """Hits with words and around: the best window on the hit's diagonal, those under need left out."""
+    """Hits with words and around: the best window on the hit's diagonal, those under need left out.
+
+    Only the words around a hit leave the join; the grouping takes repeated rows together and keeps the optimizer from
+    moving the verification, which isn't compiled, into the join and so in front of every seed.
+    """
     left = F.least("p", "item_left")
-    doc_part = F.slice("words", F.col("p") - left + 1, F.size("around"))
-    item_part = F.slice("around", F.col("item_left") - left + 1, F.size("around"))
-    same = F.zip_with(doc_part, item_part, lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
-    length = F.least(F.size(doc_part), F.size(item_part))
-    out = hits.select("doc_id", "item_id", "width", "need", (F.col("p") - F.col("q")).alias("diagonal"), same.alias("same"), length.alias("length")).where(F.col("length") >= F.col("width"))
+    size = F.size("around")
+    cut = hits.select(
+        "doc_id",
+        "item_id",
+        "width",
+        "need",
+        "q",
+        (F.col("p") - F.col("q")).alias("diagonal"),
+        F.slice("words", F.col("p") - left + 1, size).alias("doc_part"),
+        F.slice("around", F.col("item_left") - left + 1, size).alias("item_part"),
+    )
+    same_part = F.xxhash64("doc_part").alias("part_hash")  # rows may share an id and differ in text
+    cut = cut.groupBy("doc_id", "item_id", "width", "need", "diagonal", "q", same_part).agg(F.max(F.struct("doc_part", "item_part")).alias("parts"))
+    same = F.zip_with("parts.doc_part", "parts.item_part", lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
+    length = F.least(F.size("parts.doc_part"), F.size("parts.item_part"))
+    out = cut.withColumn("same", same).withColumn("length", length).where(F.col("length") >= F.col("width"))
     starts = F.sequence(F.lit(1), F.col("length") - F.col("width") + 1)
     best = F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice("same", s, F.col("width")), F.lit(0), lambda a, b: a + b)))
-    return out.withColumn("matched", best).where(F.col("matched") >= F.col("need"))
+    return out.withColumn("matched", best).where(F.col("matched") >= F.col("need")).drop("parts", "same", "part_hash")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -84,11 +100,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             continue
         if n_seeds <= BROADCAST_SEEDS:
             placed = read.withColumn("seeds", _seeds(F.col("words"), mask))
-            placed = placed.select("doc_id", "words", F.posexplode("seeds").alias("p", "hash"))
+            placed = placed.select("doc_id", "words", F.posexplode_outer("seeds").alias("p", "hash"))
             hits = placed.join(F.broadcast(seeds), "hash")
         else:
             rows = docs.select("doc_id", F.xxhash64(common.text_of(F.col("text"))).alias("text_hash"), words_column(F.col("text")).alias("words"))
-            placed = rows.withColumn("seeds", _seeds(F.col("words"), mask)).select("doc_id", "text_hash", F.posexplode("seeds").alias("p", "hash"))
+            placed = rows.withColumn("seeds", _seeds(F.col("words"), mask)).select("doc_id", "text_hash", F.posexplode_outer("seeds").alias("p", "hash"))
             met = common.staged(placed.join(seeds.select("hash", "item_id", "q"), "hash"), "hits").withColumnRenamed("doc_id", "hit_id").withColumnRenamed("text_hash", "hit_hash")
             met = met.join(seeds, ["hash", "item_id", "q"])
             hits = rows.dropDuplicates(["doc_id", "text_hash"]).join(met, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")))
