@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +41,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerline_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="ledgerline-"), "ledgerline")
+    context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._ledgerline_shipped = True
+
+
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: object) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; pure-ASCII strings take the byte-wise path."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup
+from . import decontaminate, line_dedup, simhash
 
 QUERIES = {
+    "op6_simhash": simhash.query,
     "op9_decontaminate": decontaminate.query,
     "op10_line_dedup": line_dedup.query,
 }
