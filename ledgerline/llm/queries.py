@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, simhash
+from . import decontaminate, line_dedup, quality, simhash
 
 QUERIES = {
+    "op7_quality_ftrl": quality.query,
     "op6_simhash": simhash.query,
     "op9_decontaminate": decontaminate.query,
     "op10_line_dedup": line_dedup.query,
