@@ -120,8 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int
         rows = ((y, np.frombuffer(s, np.int32).astype(np.int64)) for b in common.pieces_of(batches, 64) for y, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(train(rows).tobytes(), 1)], pa.binary())], names=["model"])
 
-    texts = sampling.sampled_texts(docs, sample).select("y", "text", F.xxhash64("doc_id", "text").alias("place"))
-    examples = common.map_arrow(texts.select("y", "text"), hashed, "y int, slots binary")
+    examples = common.map_arrow(sampling.sampled_texts(docs, sample).select("y", "text"), hashed, "y int, slots binary")
     examples = examples.withColumn("place", F.xxhash64("slots"))
     weights = np.frombuffer(zlib.decompress(sampling.trained(examples, ["place", "y"], learn)), np.float32).copy()
     weights[-1] -= sampling.log_odds_shift(shares)
