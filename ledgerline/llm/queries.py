@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import brown, decontaminate, line_dedup, quality, simhash, toxicity
+from . import brown, decontaminate, line_dedup, quality, simhash, tiff, toxicity
 
 QUERIES = {
+    "op5_tiff": tiff.query,
     "op1_brown_lm": brown.query,
     "op4_toxicity": toxicity.query,
     "op7_quality_ftrl": quality.query,
