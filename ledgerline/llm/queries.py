@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import brown, decontaminate, line_dedup, quality, simhash, tiff, toxicity
+from . import brown, decontaminate, line_dedup, pieces, quality, simhash, tiff, token_counts, toxicity
 
 QUERIES = {
+    "op2_token_counts": token_counts.query,
+    "op3_pieces": pieces.query,
     "op5_tiff": tiff.query,
     "op1_brown_lm": brown.query,
     "op4_toxicity": toxicity.query,
