@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import brown, decontaminate, line_dedup, pieces, quality, simhash, tiff, token_counts, toxicity
+from . import brown, decontaminate, html_template, line_dedup, pieces, quality, simhash, tiff, token_counts, toxicity
 
 QUERIES = {
+    "op8_html_template": html_template.query,
     "op2_token_counts": token_counts.query,
     "op3_pieces": pieces.query,
     "op5_tiff": tiff.query,
