@@ -59,7 +59,7 @@ def date_in(text: Column, formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy", "M
 def stamp_to_timestamp(stamp: Column, floor: str | None = None) -> Column:
     """A compact UTC run stamp as a timestamp, the floor as null."""
     kept = F.nullif(stamp, F.lit(floor)) if floor else stamp
-    return F.to_timestamp(kept, F.lit("yyyyMMdd'T'HHmmss'Z'"))
+    return F.to_timestamp(kept, "yyyyMMdd'T'HHmmss'Z'")
 
 
 def zero_padded(text: Column, width: int) -> Column:
