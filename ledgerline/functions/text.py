@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .typing import DECIMAL
 
@@ -23,9 +24,13 @@ def collapse_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-@F.pandas_udf("string")
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+def nfkc(text: Column) -> Column:
+    """Unicode compatibility composition; the function is made here so that workers need not import this package."""
+
+    def normalize(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    return F.pandas_udf(normalize, StringType())(text)
 
 
 def slug(text: Column) -> Column:

@@ -101,7 +101,7 @@ class Warehouse:
         jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fresh, current = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_next"), jvm.org.apache.hadoop.fs.Path(f"{self.path}/_current")
+        fresh, current = jvm.org.apache.hadoop.fs.Path(f"{self.path}/next.json"), jvm.org.apache.hadoop.fs.Path(f"{self.path}/current.json")
         out = fs.create(fresh, True)
         out.write(bytearray(json.dumps({"version": version, "rows": counts}).encode()))
         out.close()
@@ -113,7 +113,7 @@ class Warehouse:
         return counts
 
     def current(self) -> dict:
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/_current").collect()))
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/current.json").collect()))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{self.current()['version']}/{table}")
