@@ -218,10 +218,9 @@ def deduce(n_pages: int, chars: int, found: list[dict]) -> dict:
     for t in elements:
         classes[t["vector"], t["n_pages"], t["n_times"]].append(t)
     ordered = []
-    for (_, pages, times), members in classes.items():
+    for (_, pages, times), members in classes.items():  # an element stands for its two tags, so none is a class of one
         members = sorted(members, key=lambda t: (t["place"] / t["n_pages"], t["token"]))
-        if len(members) > 1 or times == pages:
-            ordered.append((members[0]["place"] / pages, times == pages, [t["token"] for t in members]))
+        ordered.append((members[0]["place"] / pages, times == pages, [t["token"] for t in members]))
     ordered.sort(key=lambda c: (c[0], c[2]))
     owner = {t: k for k, (_, _, members) in enumerate(ordered) for t in members}
     nested = []

@@ -80,18 +80,18 @@ def keep_ranges(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     return dropped_lines(docs, min_chars).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 
-def with_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """docs with n_lines, n_dropped and keep (the compressed bitmap) beside its own columns."""
+def with_bitmaps(docs: DataFrame, min_chars: int = 10, names: tuple[str, str, str] = ("n_lines", "n_dropped", "keep")) -> DataFrame:
+    """docs with n_lines, n_dropped and keep (the compressed bitmap) beside its own columns; columns of these names are replaced."""
     marks = keep_ranges(docs, min_chars).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone"))
     out = docs.withColumn("__th", F.xxhash64(common.text_of(F.col("text"))))
     out = out.join(marks, (F.col("doc_id") == F.col("__id")) & (F.col("__th") == F.col("__hash")), "left")
     n = F.size(_lines(F.col("text")))
     whole = F.array(F.struct(F.lit(0).alias("start"), n.alias("len"))).cast(RANGES)
     return out.select(
-        *docs.columns,
-        n.cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("__gone").isNull(), whole).otherwise(_kept_ranges(F.col("__gone"), n).cast(RANGES)).alias("keep"),
+        *[c for c in docs.columns if c not in names],
+        n.cast("long").alias(names[0]),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(names[1]),
+        F.when(F.col("__gone").isNull(), whole).otherwise(_kept_ranges(F.col("__gone"), n).cast(RANGES)).alias(names[2]),
     )
 
 
@@ -101,13 +101,14 @@ def kept_text(text: Column, keep: Column) -> Column:
     return F.array_join(F.flatten(F.transform(keep, lambda r: F.slice(lines, r["start"] + 1, r["len"]))), "\n")
 
 
-def _left(n_dropped: Column) -> Column:
-    return F.when(n_dropped == 0, common.text_of(F.col("text"))).otherwise(kept_text(F.col("text"), F.col("keep")))
+def _left(n_dropped: str = "n_dropped", keep: str = "keep") -> Column:
+    return F.when(F.col(n_dropped) == 0, common.text_of(F.col("text"))).otherwise(kept_text(F.col("text"), F.col(keep)))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """docs with the lines that go taken out of text; n_chars, where there is one, follows."""
-    marked = with_bitmaps(docs, min_chars).withColumn("text", _left(F.col("n_dropped")))
+    names = ("__n_lines", "__n_dropped", "__keep")
+    marked = with_bitmaps(docs, min_chars, names).withColumn("text", _left(*names[1:]))
     if "n_chars" in docs.columns:
         marked = marked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return marked.select(*docs.columns)
@@ -116,7 +117,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = with_bitmaps(docs)
-    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(_left(F.col("n_dropped")), 256).alias("kept_sha256"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(_left(), 256).alias("kept_sha256"))
 
 
 SQL = r"""

@@ -196,7 +196,9 @@ def _codec(key: int, model: Model) -> Codec:
 
 
 def encode(df: DataFrame, path: str = MODEL, column: str = "text", check: bool = True) -> DataFrame:
-    """df with ids (array<int>), n_pieces, n_byte_pieces and, if check, round_trip: whether decoding gives the text back."""
+    """df with ids (array<int>), n_pieces, n_byte_pieces and, if check, round_trip: whether decoding gives the text back.
+    Columns of these names are replaced."""
+    df = df.drop("ids", "n_pieces", "n_byte_pieces", "round_trip")
     model = read_model(path)
     key = hash((path, len(model.pieces), tuple(model.scores[-50:])))
     sent = df.sparkSession.sparkContext.broadcast(model)
@@ -223,7 +225,8 @@ def encode(df: DataFrame, path: str = MODEL, column: str = "text", check: bool =
 
 
 def decode(df: DataFrame, path: str = MODEL, column: str = "ids") -> DataFrame:
-    """df with decoded, the text of an id array; null for a null array."""
+    """df with decoded, the text of an id array; null for a null array. A column of that name is replaced."""
+    df = df.drop("decoded")
     model = read_model(path)
     key = hash((path, len(model.pieces), tuple(model.scores[-50:])))
     sent = df.sparkSession.sparkContext.broadcast(model)

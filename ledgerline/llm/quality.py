@@ -29,7 +29,8 @@ from . import common, sampling
 
 BITS = 20
 SAMPLE = 12_000
-EPOCHS = 4
+#: Passes over the sample: at least EPOCHS, and more over a small one, up to EPOCHS_MOST, until STEPS updates are made.
+EPOCHS, EPOCHS_MOST, STEPS = 4, 40, 48_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-6, 1e-6
 SCALE = 20.0
 KEEP_FROM = 0.3
@@ -72,7 +73,7 @@ def _vector(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, (n * (SCALE / max(1, len(slots)))).astype(np.float32)
 
 
-def train(examples: Iterator[tuple[int, np.ndarray]], epochs: int = EPOCHS) -> np.ndarray:
+def train(examples: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
     """Weights, the intercept last. examples: (label, slots), read once and kept in a temporary file for later epochs."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     bias = np.array([1 << BITS])
@@ -92,6 +93,7 @@ def train(examples: Iterator[tuple[int, np.ndarray]], epochs: int = EPOCHS) -> n
             kept.write(at.astype(np.int32).tobytes() + x.tobytes())
             sizes.append((y, len(at)))
             step(y, at, x)
+        epochs = min(EPOCHS_MOST, max(EPOCHS, STEPS // max(1, len(sizes))))
         for _ in range(epochs - 1):
             kept.seek(0)
             for y, m in sizes:
@@ -128,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int
 
 
 def scored(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
-    """docs with a score beside their columns."""
+    """docs with a score beside their columns; a column of that name is replaced."""
+    docs = docs.drop(name)
     model = docs.sparkSession.sparkContext.broadcast(weights)
     at = docs.columns.index("text")
 
