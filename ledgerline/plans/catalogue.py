@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions import typing as Y
-from ..operators import checks, conform, fingerprint, history, quality, select, shape
+from ..operators import checks, conform, extraction, fingerprint, history, quality, select, shape
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -682,3 +682,99 @@ def beyond_ceiling(t):
     """Rows past a one-row maximum: a nested loop over a single broadcast row."""
     top = t.orders.where("o_orderstatus = 'F'").agg((F.max("o_orderkey") - 100).alias("top"))
     return t.orders.join(F.broadcast(top), F.col("o_orderkey") > F.col("top")).select("o_orderkey", "top")
+
+
+# --- extraction --------------------------------------------------------------------------------------------------
+
+
+def _manifest(t: Tables) -> DataFrame:
+    """Events as sightings of documents, a user's events of one kind being one document."""
+    return t.events.select(
+        "user_id",
+        F.when(F.col("event_type").isin("click", "view"), "page").when(F.col("event_type") == "purchase", "sheet").otherwise("odd").alias("document_role"),
+        F.col("ts").alias("retrieved_at"),
+        F.col("event_id").alias("source_line"),
+        F.when(F.col("event_id") % 10 == 0, F.lit("x")).alias("error"),
+        F.lit("h").alias("content_hash"),
+        F.when(F.col("event_id") % 3 == 0, F.when(F.col("event_id") % 2 == 0, "text/html; charset=utf-8").otherwise("text/csv")).alias("content_type"),
+        F.when(F.col("event_id") % 7 != 0, F.when(F.col("event_id") % 5 == 0, "a/b.csv").otherwise("a/b.html")).alias("stored_path"),
+    )
+
+
+@query("""WITH m AS (SELECT user_id, CASE WHEN event_type IN ('click', 'view') THEN 'page' WHEN event_type = 'purchase' THEN 'sheet' ELSE 'odd' END AS document_role, ts, event_id,
+CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 2 = 0 THEN 'text/html' ELSE 'text/csv' END END AS ct, CASE WHEN event_id % 7 <> 0 THEN CASE WHEN event_id % 5 = 0 THEN '.csv' ELSE '.html' END END AS ext FROM events),
+k AS (SELECT *, last_value(ct IGNORE NULLS) OVER (PARTITION BY user_id, document_role ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS known FROM m),
+l AS (SELECT *, row_number() OVER (PARTITION BY user_id, document_role ORDER BY ts DESC, event_id DESC) AS rn FROM k WHERE event_id % 10 <> 0)
+SELECT user_id, document_role, event_id AS source_line, CASE WHEN ext IS NULL THEN 'no stored path' WHEN known IS NULL THEN 'no content type was ever seen' WHEN document_role = 'odd' THEN 'unknown role'
+WHEN known <> CASE document_role WHEN 'page' THEN 'text/html' ELSE 'text/csv' END THEN 'role and content type disagree' WHEN ext <> CASE document_role WHEN 'page' THEN '.html' ELSE '.csv' END THEN 'role and extension disagree' END AS problem FROM l WHERE rn = 1""")
+def resolve_documents(t):
+    out = extraction.resolve_documents(_manifest(t), ["user_id", "document_role"], {"page": ["text/html"], "sheet": ["text/csv"]}, {"page": [".html"], "sheet": [".csv"]})
+    return out.select("user_id", "document_role", "source_line", "problem")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN NULL WHEN o_orderkey % 5 = 2 THEN 'text' ELSE (o_orderkey % 100)::VARCHAR || '.25' END AS text,
+CASE WHEN o_orderkey % 5 >= 3 THEN (o_orderkey % 100) + 0.25 END::DOUBLE AS number, o_orderkey % 5 = 1 AS is_error FROM orders""")
+def cell_coercion(t):
+    k = F.col("o_orderkey") % 5
+    raw = F.when(k == 0, F.lit("  ")).when(k == 1, F.lit("#DIV/0!")).when(k == 2, F.lit(" text ")).otherwise(F.concat((F.col("o_orderkey") % 100).cast("string"), F.lit(".25 ")))
+    text, number, error = extraction.cell(raw)
+    return t.orders.select("o_orderkey", text.alias("text"), number.cast("double").alias("number"), error.alias("is_error"))
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY count(*) DESC, count(DISTINCT l_suppkey) DESC, l_linenumber) AS rn FROM lineitem
+WHERE regexp_matches(l_suppkey::VARCHAR, '^[1-5]') GROUP BY 1, 2) WHERE rn = 1""")
+def column_by_vote(t):
+    cells = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("v"))
+    return extraction.column_by_vote(cells, ["l_orderkey"], "l_linenumber", "v", "^[1-5]")
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) + max(CASE WHEN l_returnflag IN ('A', 'N') THEN 1 ELSE 0 END) AS hits,
+row_number() OVER (PARTITION BY l_orderkey ORDER BY max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) + max(CASE WHEN l_returnflag IN ('A', 'N') THEN 1 ELSE 0 END) DESC, l_linenumber) AS rn FROM lineitem GROUP BY 1, 2) WHERE rn = 1 AND hits > 0""")
+def header_row(t):
+    return extraction.header_row(t.lineitem, ["l_orderkey"], "l_linenumber", "l_returnflag", ["R", "[AN]"])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_tax BETWEEN 0.015 AND 0.065 AS kept, ((l_linenumber % 9) * 0.01)::DOUBLE AS rate FROM lineitem")
+def stated_range_split(t):
+    line = F.concat(F.lit("7% P"), F.col("l_partkey").cast("string"), F.lit(": "), (F.col("l_linenumber") % 9).cast("string"), F.lit("% and 50%"))
+    rate = extraction.first_percent_after(line, F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit(":")))
+    kept = extraction.within_stated(F.col("l_tax"), F.lit(0.06), F.lit(0.02))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", kept.alias("kept"), rate.cast("double").alias("rate"))
+
+
+@query("""SELECT o_orderkey, coalesce(a, m) AS value, a IS NOT NULL AND m IS NOT NULL AND abs(a - m) > 100000 AS disagrees FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS a, CASE WHEN o_orderkey % 4 > 0 THEN 250000.0::DOUBLE END AS m FROM orders)""")
+def precedence_merge(t):
+    anchor = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice"))
+    model = F.when(F.col("o_orderkey") % 4 > 0, F.lit(250000.0))
+    value, note = extraction.merged(anchor, model, 100000.0)
+    return t.orders.select("o_orderkey", value.alias("value"), note.isNotNull().alias("disagrees"))
+
+
+_LEDGER = """e AS (SELECT user_id AS filing_id, event_type AS document_role, event_id, CASE WHEN value < 3 THEN 'failed' WHEN value < 10 THEN 'partial' ELSE 'extracted' END AS status FROM events WHERE event_id % 17 <> 0),
+d AS (SELECT user_id AS filing_id, event_type AS document_role FROM events GROUP BY ALL)"""
+
+
+@query(f"""WITH {_LEDGER} SELECT 'every document has an outcome' AS problem, count(*) AS n FROM d WHERE (filing_id, document_role) NOT IN (SELECT (filing_id, document_role) FROM e) HAVING count(*) > 0
+UNION ALL SELECT 'one outcome a document', count(*) FROM (SELECT 1 FROM e GROUP BY filing_id, document_role HAVING count(*) > 1) HAVING count(*) > 0
+UNION ALL SELECT 'outcomes are terminal and say why', count(*) FROM e WHERE status = 'partial' HAVING count(*) > 0
+UNION ALL SELECT 'misses are recorded', count(*) FROM e WHERE status = 'partial' HAVING count(*) > 0
+UNION ALL SELECT 'a wrong count is partial', count(*) FROM e WHERE status = 'extracted' AND event_id % 4 <> 0 HAVING count(*) > 0""")
+def ledger_gate(t):
+    status = F.when(F.col("value") < 3, "failed").when(F.col("value") < 10, "partial").otherwise("extracted")
+    e = t.events.where("event_id % 17 <> 0").select(
+        F.col("user_id").alias("filing_id"), F.col("event_type").alias("document_role"), status.alias("status"), F.when(status == "failed", "why").alias("reason"), F.when(status == "failed", "E").alias("error_class"),
+        F.lit(2).alias("fields_targeted"), F.when(status == "partial", 1).otherwise(2).alias("fields_populated"), F.when(status == "partial", 1).otherwise(0).alias("fields_missed"), F.lit(0).alias("plan_count_stated"), (F.col("event_id") % 4).alias("plan_rows_emitted"),
+    )
+    documents = t.events.select(F.col("user_id").alias("filing_id"), F.col("event_type").alias("document_role"))
+    gate = extraction.ledger_gate(e, documents, documents.where("false"))
+    found = checks.union_failures({name: df.agg(F.count("*").alias("n")) for name, df in gate.items()})
+    return found.where("n > 0")
+
+
+@query("""SELECT user_id % 20 AS run_id, count(*) AS documents, count(*) FILTER (WHERE value >= 10) AS extracted, count(*) FILTER (WHERE value >= 3 AND value < 10) AS partial, 0::BIGINT AS skipped, count(*) FILTER (WHERE value < 3) AS failed,
+sum(event_id % 4)::BIGINT AS plan_rows_emitted FROM events GROUP BY 1""")
+def outcome_totals(t):
+    status = F.when(F.col("value") < 3, "failed").when(F.col("value") < 10, "partial").otherwise("extracted")
+    zero = ("filing_rows_emitted", "justification_rows_emitted", "fields_targeted", "fields_populated", "fields_missed")
+    e = t.events.select((F.col("user_id") % 20).alias("run_id"), status.alias("status"), (F.col("event_id") % 4).alias("plan_rows_emitted"), *[F.lit(0).alias(c) for c in zero])
+    return extraction.totals(e).drop(*zero)

@@ -261,3 +261,53 @@ def test_streams_equal_batches(spark, tmp_path):
     good = spark.createDataFrame(rows, schema).where("error is null")
     want = history.episodes(good, ["filing_id", "document_role"], ["retrieved_at"], "content_hash", seq="content_version_seq").select("filing_id", "document_role", "content_version_seq", "content_hash", "first_seen_at").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_provenance_invariants(spark):
+    from ledgerline.operators import extraction
+
+    schema = "id int, x string, y string, provenance map<string, struct<method string, evidence string, confidence double, model_id string, call_id string>>"
+    ok = ("table_parse", None, None, None, None)
+    rows = [
+        (1, "a", None, {"x": ok}),
+        (2, "a", "b", {"x": ok}),
+        (3, "a", None, {"x": ok, "z": ok}),
+        (4, "a", None, {"x": ("llm", "said", None, "m", None)}),
+        (5, "a", None, {"x": ("llm", None, None, "m", "c")}),
+        (6, "a", None, {"x": ("regex_anchor", "", None, None, None)}),
+        (7, "a", None, {"x": ("deterministic_cell", None, 0.9, None, None)}),
+        (8, None, None, None),
+        (9, "a", None, {"x": ("llm", "said", 0.5, "m", "c")}),
+        (10, "a", None, None),
+    ]
+    good, bad = extraction.split_valid(spark.createDataFrame(rows, schema), extraction.problems_of_provenance(["x", "y"]))
+    assert {r["id"] for r in good.collect()} == {1, 8, 9}
+    assert {r["id"]: len(r["problems"]) for r in bad.collect()} == {2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, 10: 1}
+
+
+def test_a_ledger_without_losses_passes(spark):
+    from ledgerline.operators import extraction
+
+    rows = spark.createDataFrame([("f", "u", "extracted", None, None, 2, 2, 0, 3, 3), ("f", "l", "partial", "short", None, 2, 1, 1, None, 0)], "filing_id string, document_role string, status string, reason string, error_class string, fields_targeted int, fields_populated int, fields_missed int, plan_count_stated int, plan_rows_emitted int")
+    misses = spark.createDataFrame([("f", "l")], "filing_id string, document_role string")
+    assert failing(extraction.ledger_gate(rows, rows, misses)) == {}
+    broken = {
+        "every document has an outcome": (rows.where("document_role = 'u'"), misses),
+        "one outcome a document": (rows.union(rows.where("document_role = 'u'")), misses),
+        "outcomes are terminal and say why": (rows.withColumn("reason", F.lit(None).cast("string")), misses),
+        "fields add up": (rows.withColumn("fields_targeted", F.lit(9)), misses),
+        "misses are recorded": (rows, misses.where("false")),
+        "a wrong count is partial": (rows.withColumn("plan_rows_emitted", F.lit(9)), misses),
+        "failures name their error": (rows.withColumns({"status": F.lit("failed"), "reason": F.lit("x")}), misses),
+    }
+    for name, (o, m) in broken.items():
+        assert name in failing(extraction.ledger_gate(o, rows, m))
+
+
+def test_pages_of_contents_open_no_section(spark):
+    from ledgerline.operators import extraction
+
+    lines = [("d", 1, n, "Heading") for n in range(4)] + [("d", 3, 10, "Part one"), ("d", 3, 11, "prose goes on."), ("d", 9, 20, "Part two")]
+    df = spark.createDataFrame(lines, "doc string, page int, line_no int, line string")
+    got = extraction.section_windows(df, ["doc"], T.is_heading(F.col("line")), "page", 4).orderBy("start_page").collect()
+    assert [(r["heading"], r["start_page"], r["end_page"]) for r in got] == [("Part one", 3, 7), ("Part two", 9, 13)]
