@@ -33,11 +33,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return shared
 
 
+_STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables that this driver staged. Call it once results are written: they read these tables lazily."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _STAGED:
+        path = hadoop.Path(_STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: lineage is cut, and losing executors loses nothing."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

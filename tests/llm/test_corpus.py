@@ -517,6 +517,16 @@ def test_classes_nest_in_a_template(spark):
     assert classes[paragraphs["within"]] == once
 
 
+def test_staged_tables_can_be_dropped(spark):
+    df = common.staged(spark.range(3).toDF("x"), "t")
+    path = common._STAGED[-1].removeprefix("file://")
+    import os
+
+    assert df.count() == 3 and os.path.exists(path)
+    common.drop_staged(spark)
+    assert not os.path.exists(path) and not common._STAGED
+
+
 # --- the pipeline
 
 
