@@ -241,7 +241,7 @@ def templates(pages: DataFrame) -> DataFrame:
     """One row per host of at least LEAST_PAGES pages: main, lists, repeated and classes (JSON)."""
     found = common.staged(tokens(pages), "tokens")
     hosts = found.where("token = ''").select("host", F.col("n_pages").alias("pages"), F.col("chars").alias("all_chars"))
-    hosts = hosts.where(F.col("pages") >= LEAST_PAGES)
+    hosts = common.staged(hosts.where(F.col("pages") >= LEAST_PAGES), "hosts")  # of known size: broadcast while small, so no host meets in a task
     kept = found.where("token <> ''").join(hosts, "host").where(F.col("n_pages") >= SUPPORT * F.col("pages"))
     packed = kept.groupBy("host", "pages", "all_chars").agg(F.collect_list(F.struct("token", "n_pages", "n_times", "vector", "place", "chars", "links")).alias("found"))
     packed = hosts.join(packed, ["host", "pages", "all_chars"], "left")
