@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 RAW_SCHEMA = "payload variant, source_file string, source_line int, loaded_at timestamp, load_id string"
 #: table -> file of each ledger and extract; fixed values of the tree that is landed.
@@ -28,26 +29,40 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.sql("select parse_json('null') payload, '' source_file, 0 source_line, current_timestamp() loaded_at, '' load_id where false").select("payload", "source_file", "source_line", "loaded_at", "load_id")
 
 
-def _relative(root: str) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), f"^{root.rstrip('/')}/", "")
+def _relative(root: str, path: Column) -> Column:
+    """A file's path from the root on; both may or may not name a scheme."""
+    bare = "^[a-zA-Z][a-zA-Z0-9+.-]*:/+"
+    return F.replace(F.regexp_replace(path, bare, "/"), F.lit(re.sub(bare, "/", root.rstrip("/")) + "/"), F.lit(""))
 
 
 def _stamped(df: DataFrame, load_id: str) -> DataFrame:
     return df.select("payload", "source_file", F.col("source_line").cast("int"), F.current_timestamp().alias("loaded_at"), F.lit(load_id).alias("load_id"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, line): the lines of text files with their physical numbers from 1, however large the files are.
+
+    A split of a file is read in order by one task, so row ids within it are consecutive; the lines of the splits before it
+    are counted and summed. The counts are one row a split, so files are read in parallel and nothing is read whole."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    splits = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return rows.join(shifts, ["file", "block"]).select("value", "file", (F.col("id") + F.col("shift")).alias("line"))
+
+
 def read_jsonl(spark: SparkSession, root: str, path: str, load_id: str = "") -> DataFrame:
     """A row per non-blank line under its physical number; a line that is no JSON fails the job."""
-    lines = spark.read.text(path if "://" in path or path.startswith("/") else f"{root}/{path}", wholetext=True).select("value", _relative(root).alias("source_file"))
-    numbered = lines.select("source_file", F.posexplode(F.split("value", "\r?\n", -1)).alias("n", "line")).where(F.trim("line") != "")
-    where = F.concat(F.col("source_file"), F.lit(":"), (F.col("n") + 1).cast("string"), F.lit(" is no JSON"))
-    payload = F.coalesce(F.try_parse_json("line"), F.raise_error(where).cast("variant"))
-    return _stamped(numbered.select(payload.alias("payload"), "source_file", (F.col("n") + 1).alias("source_line")), load_id)
+    lines = numbered_lines(spark, path if "://" in path or path.startswith("/") else f"{root}/{path}")
+    source = _relative(root, F.col("file"))
+    where = F.concat(source, F.lit(":"), F.col("line").cast("string"), F.lit(" is no JSON"))
+    payload = F.coalesce(F.try_parse_json("value"), F.raise_error(where).cast("variant"))
+    return _stamped(lines.where(F.trim("value") != "").select(payload.alias("payload"), source.alias("source_file"), F.col("line").alias("source_line")), load_id)
 
 
 def read_json_arrays(spark: SparkSession, root: str, pattern: str, load_id: str = "") -> DataFrame:
     """A row per array element, numbered from 1; a file that is no JSON array fails the job."""
-    files = spark.read.text(f"{root}/{pattern}", wholetext=True).select("value", _relative(root).alias("source_file"))
+    files = spark.read.text(f"{root}/{pattern}", wholetext=True).select("value", _relative(root, F.col("_metadata.file_path")).alias("source_file"))
     parsed = files.withColumn("doc", F.coalesce(F.try_parse_json("value"), F.raise_error(F.concat(F.col("source_file"), F.lit(" is no JSON"))).cast("variant")))
     checked = parsed.withColumn("doc", F.when(F.schema_of_variant("doc").startswith("ARRAY"), F.col("doc")).otherwise(F.raise_error(F.concat(F.col("source_file"), F.lit(" is no array"))).cast("variant")))
     checked.createOrReplaceTempView(view := f"arrays_{uuid.uuid4().hex}")
@@ -138,7 +153,3 @@ def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Adds rows to a ledger of Parquet files; rows are never rewritten."""
     writer = df.write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(path)

@@ -267,3 +267,53 @@ def test_changed_documents_only(spark, tmp_path):
     docs = landing.read_documents(spark, str(tmp_path))
     known = docs.select("path", "content_hash").where("path like '%a'")
     assert [r["path"][-1] for r in landing.new_documents(docs, known).collect()] == ["b"]
+
+
+def test_line_numbers_survive_splits(spark, tmp_path):
+    lines = ["" if i % 7 == 3 else json.dumps({"n": i + 1, "pad": "x" * (i % 50)}) for i in range(3001)]
+    (tmp_path / "big.jsonl").write_text("\n".join(lines))
+    (tmp_path / "small.jsonl").write_text("\n".join(lines[:10]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = landing.read_jsonl(spark, str(tmp_path), "*.jsonl").selectExpr("source_file", "source_line", "variant_get(payload, '$.n', 'int') as n")
+        rows = df.collect()
+        assert df.rdd.getNumPartitions() >= 1 and landing.numbered_lines(spark, f"{tmp_path}/big.jsonl").select("value").count() == 3001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == sum(bool(x) for x in lines) + sum(bool(x) for x in lines[:10])
+    assert all(r["source_line"] == r["n"] for r in rows) and {r["source_file"] for r in rows} == {"big.jsonl", "small.jsonl"}
+
+
+def test_a_validation_run(spark, tree):
+    from ledgerline.operators import quality
+    from ledgerline.plans import validate as V
+
+    root, (_, a, b, v1) = tree
+    raw = landing.read_all(spark, str(root))
+    raw["field_misses"] = landing.from_rows(spark, [{"run_id": b, "filing_id": "or-1", "field_name": "loss_ratio", "reason": "unparseable"}])
+    m = Models(raw)
+    rules = quality.load_rules(
+        [
+            {"id": "RULE", "check": "range", "params": {"field": "cumulative_rate_change_pct", "min": "0.06", "max": "1"}},
+            {"id": "STATE", "check": "id_segment_matches", "params": {"field": "filing_id", "segment": [0, 2]}},
+            {"id": "COUNT", "check": "count_equals", "grain": "filing", "params": {"field": "plan_count_stated", "count_field": "n_plans"}},
+            {"id": "MISS", "check": "adopted_only", "grain": "filing"},
+        ]
+    )
+    run = "20260901T000000Z"
+    v = V.validate(m, rules, run, {"unparseable": "MISS"})
+    rows = {(r["rule_id"], r["filing_id"], r["subject_key"], r["reprocess_status"]) for r in v.quarantine.collect()}
+    assert rows == {("RULE", "or-1", "P2", "open"), ("RULE", "or-1", "P3", "open"), ("RULE", "pa-1", "P1", "open"), ("RULE", "pa-1", "P2", "open"), ("MISS", "or-1", None, "open")}
+    results = {r["rule_id"]: r for r in v.results.collect()}
+    assert [results["RULE"][c] for c in ("evaluated", "passed", "violated")] == [5, 1, 4] and results["COUNT"]["not_evaluated"] == 2 and results["MISS"]["adopted"] == 1
+    assert failing(v.gate) == {} and v.exit_code() == 1
+    strict = quality.load_rules([{"id": "RULE", "check": "range", "params": {"field": "cumulative_rate_change_pct", "min": "0", "max": "1"}}, {"id": "MISS", "check": "adopted_only"}])
+    calm = V.validate(m, strict, run, {"unparseable": "MISS"})
+    assert [(r["subject_key"], r["reprocess_status"]) for r in calm.quarantine.where("rule_id = 'RULE'").collect()] == [("P2", "resolved")]
+    assert failing(calm.gate) == {}
+    one = V.validate(m, rules, run, {"unparseable": "MISS"}, ["pa-1"])
+    assert {r["filing_id"] for r in one.quarantine.collect()} == {"pa-1"} and {r["scope"] for r in one.results.collect()} == {"filing"}
+    with pytest.raises(quality.RuleError):
+        V.validate(m, rules, run, {"other": "MISS"})
+    assert {r["document_role"] for r in V.sources_disagree({"plan": ["urrt", "ghost"]}, m.manifest).collect()} == {"ghost", "letter"}
