@@ -272,7 +272,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     out = score(docs, docs.where(common.bucket_of(F.col("doc_id"), FOLDS) != HELD_OUT))
     held = common.bucket_of(F.col("doc_id"), FOLDS) == HELD_OUT
     log2 = F.lit(float(np.log2(10)))

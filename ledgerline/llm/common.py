@@ -18,10 +18,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+#: An input of so few splits is dealt out to all cores before it is worked on; larger ones are read as they are split.
+FEW_SPLITS = 4
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table of texts, all of it; one of a few splits, so of a few hundred MB at most, is spread over the cores."""
+    df = read_table(spark, sf_dir, name)
+    df = df.select(*columns) if columns else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= min(FEW_SPLITS, cores - 1) else df
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only where none is set, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -122,7 +122,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    found = leaks(common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "benchmark"))
+    found = leaks(common.read_texts(spark, sf_dir, "documents", "doc_id", "text"), common.read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("window_words").cast("long"), F.col("matched_words").cast("long"), F.col("n_places").cast("long"))
 
 

@@ -295,4 +295,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return extract(common.read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+    return extract(common.read_texts(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")

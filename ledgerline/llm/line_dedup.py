@@ -115,7 +115,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     marked = with_bitmaps(docs)
     return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(_left(), 256).alias("kept_sha256"))
 

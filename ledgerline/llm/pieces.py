@@ -243,5 +243,5 @@ def decode(df: DataFrame, path: str = MODEL, column: str = "ids") -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     return encode(docs).select("doc_id", "n_pieces", "n_byte_pieces", "round_trip", "ids")

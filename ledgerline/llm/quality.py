@@ -30,11 +30,11 @@ from . import common, sampling
 BITS = 20
 SAMPLE = 12_000
 #: Passes over the sample: at least EPOCHS, and more over a small one, up to EPOCHS_MOST, until STEPS updates are made.
-EPOCHS, EPOCHS_MOST, STEPS = 4, 40, 48_000
+EPOCHS, EPOCHS_MOST, STEPS = 4, 40, 24_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-6, 1e-6
 SCALE = 20.0
 KEEP_FROM = 0.3
-_CACHE = 400_000
+_CACHE = 200_000
 _CLASSES = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+", re.S)
 
@@ -152,7 +152,7 @@ def filter_quality(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_F
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     out = scored(docs, fit(docs, common.read_table(spark, sf_dir, "labels")))
     held = common.bucket_of(F.col("doc_id"), sampling.FOLDS) == sampling.HELD_OUT
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))

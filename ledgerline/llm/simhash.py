@@ -185,5 +185,5 @@ def dedup_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    marked = near_duplicates(common.read_table(spark, sf_dir, "documents"))
+    marked = near_duplicates(common.read_texts(spark, sf_dir, "documents", "doc_id", "text"))
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

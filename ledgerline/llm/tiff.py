@@ -356,4 +356,4 @@ def digests(media: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return digests(encoded(common.read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return digests(encoded(common.read_texts(spark, sf_dir, "documents", "doc_id", "text")))

@@ -159,6 +159,6 @@ def with_line_sections(docs: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     counts = attribute(with_line_sections(docs))
     return counts.select("doc_id", "section", F.col("n_tokens").cast("long"), "n_crossing")

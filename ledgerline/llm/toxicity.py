@@ -191,7 +191,7 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = common.read_texts(spark, sf_dir, "documents", "doc_id", "text")
     out = scored(docs, fit(docs, common.read_table(spark, sf_dir, "labels")))
     held = common.bucket_of(F.col("doc_id"), sampling.FOLDS) == sampling.HELD_OUT
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
