@@ -34,15 +34,19 @@ def read_texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.repartition(cores) if df.rdd.getNumPartitions() <= min(FEW_SPLITS, cores - 1) else df
 
 
+_OWN_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only where none is set, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _OWN_SCRATCH:
+        _OWN_SCRATCH.append("file://" + tempfile.mkdtemp(prefix="ledgerline-"))
+    return _OWN_SCRATCH[0]
 
 
 _STAGED: list[str] = []
