@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import common, decontaminate, line_dedup, pieces, quality, simhash
+from ledgerline.llm import common, decontaminate, line_dedup, near_copies, pieces, quality
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,8 +27,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the least doc_id."""
-    return simhash.dedup_documents(docs)
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8) stays, that of the least doc_id."""
+    return near_copies.dedup_documents(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

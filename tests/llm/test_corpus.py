@@ -206,6 +206,29 @@ def test_near_duplicates_keep_one(spark):
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == set(roots.values())
 
 
+def test_pipeline_links_all_near_copies(spark):
+    import corpus_pipeline
+
+    g = np.random.default_rng(11)
+    texts = [None, "", "a b", "A  b", prose(300, 70), *[prose(150, i) for i in range(20)]]
+    for i in range(60):  # a word in each 20 to 80 changed; a chain; a common passage
+        old = texts[int(g.integers(4, len(texts)))].split()
+        for at in g.choice(len(old), max(1, len(old) // int(g.integers(20, 80))), replace=False):
+            old[at] = f"x{i}y{at}"
+        texts.append(" ".join(old))
+    texts = [t if i % 3 or not t else t + " " + prose(12, 99) for i, t in enumerate(texts)]
+
+    def grams(t):
+        w = words(t)
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sets = [grams(t) for t in texts]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    roots = brute_components([(i, j) for i in range(len(texts)) for j in range(len(texts)) if near(i, j)])
+    kept = {r["doc_id"] for r in corpus_pipeline.dedup_near_copies(spark, documents(spark, texts), "").collect()}
+    assert kept == set(roots.values()) and len(kept) < 70
+
+
 def test_long_chains_have_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.components(links).collect()}
