@@ -5,7 +5,8 @@ occurrence vectors over the pages of a host are equal form a class: vectors are
 (page, count) pairs in a group-by, so a host with any share of all pages is spread over all tasks and nothing is gathered
 per host but its tokens that occur on at least ``SUPPORT`` of the pages, of which there are at most a few per page element.
 Classes are ordered by place and nested by path into a template. The slot for the main text is the deepest container that
-occurs once a page and holds at least ``MAIN_SHARE`` of the host's text; slots of links and blocks of text repeated on the
+occurs once a page and holds at least ``MAIN_SHARE`` of the host's text, or the one above it that holds all of a page's
+text but the template's and blocks of links; slots of links and blocks of text repeated on the
 host's pages belong to the template, not to the text. What is left of the slot after navigation, page headers and footers,
 sidebars, notices, adverts, forms, scripts and comments (by tag, role, class or id) is the result: one paragraph a block.
 
@@ -267,7 +268,12 @@ def extract_page(source: str, main: str | None, lists: list[str], repeated: froz
     if main is None or (main and not page.count[main]):
         chars, _ = page.mass()
         main = _main({p: chars[p] for p, n in page.count.items() if n == 1}, sum(page.chars.values()))
-    kept = [x for p, x in page.blocks if _under(p, main) and not any(_under(p, s) for s in lists) and not (repeated and _digest(x) in repeated)]
+    text = [(p, x) for p, x in page.blocks if not any(_under(p, s) for s in lists) and not (repeated and _digest(x) in repeated)]
+    _, links = page.mass()
+    for p, _ in text:  # climb to what holds all text that is neither the template's nor mostly links
+        while not _under(p, main) and links[p] <= LINK_SHARE * page.chars[p]:
+            main = main.rpartition(">")[0]
+    kept = [x for p, x in text if _under(p, main)]
     return "\n\n".join(kept)
 
 

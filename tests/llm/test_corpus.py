@@ -527,6 +527,14 @@ def test_template_parts_and_odd_pages(spark):
     assert (got[90], got[91], got[92], got[94], got[95]) == ("", "", "Alone € page", "unclosed x", "Other layout altogether") and "here & there" in got[93]
 
 
+def test_parts_beside_the_main_container_stay(spark):
+    bodies = ["<h1>Head {0}</h1><div class='content'><p>" + "long text {0} " * 30 + "</p></div>", "<section class='intro'><p>" + "intro {0} " * 35 + "</p></section><section class='rest'><p>" + "rest {0} " * 80 + "</p></section>"]
+    rows = [(10 * k + i, f"http://h{k}.example/{i}", page(i, b.format(i))) for k, b in enumerate(bodies) for i in range(10 if k else 1)]
+    got = extracted(spark, rows)
+    assert got[0].startswith("Head 0\n\nlong text 0")
+    assert all(t.startswith(f"intro {i % 10} ") and f"rest {i % 10}" in t for i, t in got.items() if i >= 10)
+
+
 def test_classes_nest_in_a_template(spark):
     df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + "<p>Some words here {0} {1}</p>".format(i, i * 7) * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
