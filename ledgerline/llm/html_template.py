@@ -90,7 +90,7 @@ class Page:
             if out or not part:
                 return
             if not text:
-                where = path
+                where = next((e[1] for e in reversed(stack) if e[0] in _BLOCKS), "")
             text.append(part)
             size = len(part) - part.count(" ")
             if size and not part.isspace():
@@ -163,9 +163,13 @@ class Page:
         return chars, links
 
 
+def _tag(path: str) -> str:
+    return re.split(r"[.#@]", path.rpartition(">")[2], maxsplit=1)[0]
+
+
 def _main(once: dict[str, float], total: float) -> str:
     """The deepest container that occurs once and holds most of the text."""
-    fits = [p for p, chars in once.items() if chars >= MAIN_SHARE * total and p.rpartition(">")[2].partition(".")[0].partition("#")[0].partition("@")[0] in _CONTAINERS]
+    fits = [p for p, chars in once.items() if chars >= MAIN_SHARE * total and _tag(p) in _CONTAINERS]
     return max(fits, key=lambda p: (p.count(">"), once[p], p), default="")
 
 
@@ -233,7 +237,7 @@ def deduce(n_pages: int, chars: int, found: list[dict]) -> dict:
         nested.append({"once": once, "tokens": members, "within": parent})
     valid = {t for c in nested if c["once"] for t in c["tokens"]}
     main = _main({t["token"]: t["chars"] for t in elements if t["token"] in valid}, chars)
-    lists = [t["token"] for t in elements if t["token"] in owner and t["links"] > LINK_SHARE * t["chars"] > 0 and not main.startswith(t["token"])]
+    lists = [t["token"] for t in elements if t["token"] in owner and _tag(t["token"]) in _BLOCKS and t["links"] > LINK_SHARE * t["chars"] > 0 and not main.startswith(t["token"])]
     repeated = [t["token"] for t in found if t["token"].startswith("#") and t["n_pages"] >= LEAST_REPEATS]
     return {"main": main, "lists": lists, "repeated": repeated, "classes": json.dumps(nested, ensure_ascii=False)}
 
@@ -269,9 +273,9 @@ def extract_page(source: str, main: str | None, lists: list[str], repeated: froz
         chars, _ = page.mass()
         main = _main({p: chars[p] for p, n in page.count.items() if n == 1}, sum(page.chars.values()))
     text = [(p, x) for p, x in page.blocks if not any(_under(p, s) for s in lists) and not (repeated and _digest(x) in repeated)]
-    _, links = page.mass()
+    chars, links = page.mass()
     for p, _ in text:  # climb to what holds all text that is neither the template's nor mostly links
-        while not _under(p, main) and links[p] <= LINK_SHARE * page.chars[p]:
+        while not _under(p, main) and links[p] <= LINK_SHARE * chars[p]:
             main = main.rpartition(">")[0]
     kept = [x for p, x in text if _under(p, main)]
     return "\n\n".join(kept)

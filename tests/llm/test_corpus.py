@@ -535,6 +535,11 @@ def test_parts_beside_the_main_container_stay(spark):
     assert all(t.startswith(f"intro {i % 10} ") and f"rest {i % 10}" in t for i, t in got.items() if i >= 10)
 
 
+def test_paragraphs_that_open_with_a_link_stay(spark):
+    rows = [(i, f"http://a.example/{i}", page(i, f"<p>Text {i} of it</p><p><a href='/x'>Name {i}</a> said " + f"much {i} " * 50 + "</p>")) for i in range(12)]
+    assert all(f"Name {i} said much {i}" in t for i, t in extracted(spark, rows).items())
+
+
 def test_classes_nest_in_a_template(spark):
     df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + "<p>Some words here {0} {1}</p>".format(i, i * 7) * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
