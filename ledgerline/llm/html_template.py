@@ -7,7 +7,7 @@ per host but its tokens that occur on at least ``SUPPORT`` of the pages, of whic
 Classes are ordered by place and nested by path into a template. The slot for the main text is the deepest container that
 occurs once a page and holds at least ``MAIN_SHARE`` of the host's text, or the one above it that holds all of a page's
 text but the template's and blocks of links; slots of links and blocks of text repeated on the
-host's pages belong to the template, not to the text. What is left of the slot after navigation, page headers and footers,
+host's pages, copies of a page counted once, belong to the template, not to the text. What is left of the slot after navigation, page headers and footers,
 sidebars, notices, adverts, forms, scripts and comments (by tag, role, class or id) is the result: one paragraph a block.
 
 Templates meet their pages in a join: Spark broadcasts the table of templates while it is small by its file sizes, and
@@ -182,26 +182,30 @@ def host_column(url: object) -> object:
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(host, token, n_pages, n_times, vector, place, chars, links): vectors as hashes; token "" stands for the pages."""
+    """(host, token, n_bodies, n_pages, n_times, vector, place, chars, links): vectors as hashes; token "" stands for the pages.
+
+    n_bodies of token "" and of texts counts pages of different text: copies of a page count once.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str], list[int]] = {}
-        names = ["host", "token", "n_pages", "n_times", "vector", "place", "chars", "links"]
+        sums: dict[tuple[str, str, int], list[int]] = {}
+        names = ["host", "token", "body", "n_pages", "n_times", "vector", "place", "chars", "links"]
 
         def rows() -> pa.RecordBatch:
-            columns = list(zip(*[(h, t, *v) for (h, t), v in sums.items()], strict=True))
-            types = [pa.string(), pa.string(), *[pa.int64()] * 6]
+            columns = list(zip(*[(h, t, body, *v) for (h, t, body), v in sums.items()], strict=True))
+            types = [pa.string(), pa.string(), *[pa.int64()] * 7]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=names)
 
         for b in common.pieces_of(batches):
             for host, page_key, source in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 page = Page(source)
                 chars, links = page.mass()
+                body = xxhash.xxh64_intdigest("\n".join(x for _, x in page.blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
                 seen = [("", 1, 0, sum(page.chars.values()), 0)]
                 seen += [(t, n, i, chars[t], links[t]) for i, (t, n) in enumerate(page.count.items())]
                 seen += [(t, n, 0, 0, 0) for t, n in Counter(_digest(x) for _, x in page.blocks).items()]
                 for t, n, place, c, k in seen:
-                    v = sums.setdefault((host, t), [0] * 6)
+                    v = sums.setdefault((host, t, 0 if t and t[0] != "#" else body), [0] * 6)
                     for i, x in enumerate((1, n, 0, place, c, k)):
                         v[i] += x
                     v[2] ^= xxhash.xxh64_intdigest(f"{page_key} {n}") - (1 << 63)
@@ -211,9 +215,10 @@ def tokens(pages: DataFrame) -> DataFrame:
         if sums:
             yield rows()
 
-    schema = "host string, token string, n_pages long, n_times long, vector long, place long, chars long, links long"
+    schema = "host string, token string, body long, n_pages long, n_times long, vector long, place long, chars long, links long"
     found = common.map_arrow(pages.select("host", F.xxhash64("page_id", "url").alias("page_key"), "html"), work, schema)
-    return found.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("n_pages", "n_times", "place", "chars", "links")], F.bit_xor("vector").alias("vector"))
+    found = found.groupBy("host", "token", "body").agg(*[F.sum(c).alias(c) for c in ("n_pages", "n_times", "place", "chars", "links")], F.bit_xor("vector").alias("vector"))
+    return found.groupBy("host", "token").agg(F.count("*").alias("n_bodies"), *[F.sum(c).alias(c) for c in ("n_pages", "n_times", "place", "chars", "links")], F.bit_xor("vector").alias("vector"))
 
 
 def deduce(n_pages: int, chars: int, found: list[dict]) -> dict:
@@ -238,18 +243,19 @@ def deduce(n_pages: int, chars: int, found: list[dict]) -> dict:
     valid = {t for c in nested if c["once"] for t in c["tokens"]}
     main = _main({t["token"]: t["chars"] for t in elements if t["token"] in valid}, chars)
     lists = [t["token"] for t in elements if t["token"] in owner and _tag(t["token"]) in _BLOCKS and t["links"] > LINK_SHARE * t["chars"] > 0 and not main.startswith(t["token"])]
-    repeated = [t["token"] for t in found if t["token"].startswith("#") and t["n_pages"] >= LEAST_REPEATS]
+    repeated = [t["token"] for t in found if t["token"].startswith("#") and t["n_bodies"] >= LEAST_REPEATS]
     return {"main": main, "lists": lists, "repeated": repeated, "classes": json.dumps(nested, ensure_ascii=False)}
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """One row per host of at least LEAST_PAGES pages: main, lists, repeated and classes (JSON)."""
     found = common.staged(tokens(pages), "tokens")
-    hosts = found.where("token = ''").select("host", F.col("n_pages").alias("pages"), F.col("chars").alias("all_chars"))
+    hosts = found.where("token = ''").select("host", F.col("n_pages").alias("pages"), F.col("chars").alias("all_chars"), F.col("n_bodies").alias("bodies"))
     hosts = common.staged(hosts.where(F.col("pages") >= LEAST_PAGES), "hosts")  # of known size: broadcast while small, so no host meets in a task
-    kept = found.where("token <> ''").join(hosts, "host").where(F.col("n_pages") >= SUPPORT * F.col("pages"))
-    packed = kept.groupBy("host", "pages", "all_chars").agg(F.collect_list(F.struct("token", "n_pages", "n_times", "vector", "place", "chars", "links")).alias("found"))
-    packed = hosts.join(packed, ["host", "pages", "all_chars"], "left")
+    supported = F.when(F.col("token").startswith("#"), F.col("n_bodies") >= SUPPORT * F.col("bodies")).otherwise(F.col("n_pages") >= SUPPORT * F.col("pages"))
+    kept = found.where("token <> ''").join(hosts, "host").where(supported)
+    packed = kept.groupBy("host", "pages", "all_chars").agg(F.collect_list(F.struct("token", "n_bodies", "n_pages", "n_times", "vector", "place", "chars", "links")).alias("found"))
+    packed = hosts.drop("bodies").join(packed, ["host", "pages", "all_chars"], "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.pieces_of(batches):

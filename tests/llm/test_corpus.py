@@ -540,6 +540,14 @@ def test_paragraphs_that_open_with_a_link_stay(spark):
     assert all(f"Name {i} said much {i}" in t for i, t in extracted(spark, rows).items())
 
 
+def test_copies_of_an_article_are_not_its_template(spark):
+    body = "".join(f"<p>Paragraph {k} of the copied article</p>" for k in range(4))
+    html = "<html><body><article>{0}<p>Subscribe to our letter today</p></article></body></html>"
+    rows = [(i, f"http://a.example/{i}", html.format(body if i < 12 else f"<p>Own text {i} of this page</p>")) for i in range(24)]
+    got = extracted(spark, rows)
+    assert all(got[i] == "\n\n".join(f"Paragraph {k} of the copied article" for k in range(4)) for i in range(12)) and got[20] == "Own text 20 of this page"
+
+
 def test_classes_nest_in_a_template(spark):
     df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + "<p>Some words here {0} {1}</p>".format(i, i * 7) * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
