@@ -53,26 +53,38 @@ _BLOCKS = frozenset(
 )
 _CLOSES_P = _BLOCKS - frozenset("td th tr tbody thead tfoot dd dt li body html".split())
 _OUT = frozenset("nav header footer aside form head button select option menu dialog input label object audio video canvas map".split())
-#: Words in classes, ids and roles that mark what is no part of an article.
+#: Whole classes, ids and roles that mark what is no part of an article.
 _OUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored sidebar aside menu nav navbar navigation"
     " breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter"
     " subscribe subscription signup login share sharing social related recommended comment comments disqus reply replies respond widget"
-    " toolbar pagination pager skip legal copyright contentinfo complementary search dialog alertdialog".split()
+    " toolbar pagination pager skip legal copyright contentinfo complementary search dialog alertdialog"
+    " cookie-notice cookie-banner cookie-consent ad-banner ad-slot nav-bar main-nav site-nav main-menu site-header site-footer page-header"
+    " page-footer related-posts share-buttons social-share comment-list comments-area newsletter-signup skip-link".split()
 )
+#: Never an article, whatever its share of the text.
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising promo sponsored ad-banner ad-slot cookie-notice cookie-banner cookie-consent".split())
+_NEVER_OUT = frozenset("html body main article".split())
 _SAME = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table", "tbody", "thead", "tfoot"), "option": ("select",)}
-_WORD = re.compile(r"[a-z0-9]+", re.I)
 
 
 class Page:
     """One walk over a page: how often each element path occurs, in which order they come first, and the text blocks."""
 
     def __init__(self, source: str) -> None:
+        spared: frozenset[int] = frozenset()
+        while more := self._walk(source, spared) - spared:  # a marked element with most of the text is the article's own
+            spared |= more
+
+    def _walk(self, source: str, spared: frozenset[int]) -> set[int]:
+        """Reads the page; returns the elements, numbered, that their marks put out though they hold most of the text."""
         self.count: Counter = Counter()
         self.chars: Counter = Counter()
         self.links: Counter = Counter()
         self.blocks: list[tuple[str, str]] = []
-        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, out of the article, link
+        stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]  # name, path, what puts it out of the article (a marked element's number, -1 a tag), link
+        marked: Counter = Counter()
+        number = 0
         text: list[str] = []
         where = ""
 
@@ -87,6 +99,8 @@ class Page:
         def add(part: str) -> None:
             nonlocal where
             _, path, out, link = stack[-1]
+            if out > 0:
+                marked[out] += len("".join(part.split()))
             if out or not part:
                 return
             if not text:
@@ -143,13 +157,20 @@ class Page:
             key = name + "".join(sorted(f"{'#' if k == 'id' else '@' if k == 'role' else '.'}{w}" for k, v in marks for w in v.split() if not any(map(str.isdigit, w))))
             _, path, out, link = stack[-1]
             path = f"{path}>{key}" if path else key
-            out = out or name in _OUT or any(w.lower() in _OUT_WORDS for _, v in marks for w in _WORD.findall(v)) or bool(rest and _HIDDEN.search(rest))
+            number += 1
+            words = {w.lower() for _, v in marks for w in v.split()} if name not in _NEVER_OUT else set()
+            if name in _OUT or words & _ADVERTS or (rest and _HIDDEN.search(rest)):
+                out = -1
+            elif number not in spared and words & _OUT_WORDS:
+                out = out or number
             self.count[path] += 1
             if name not in _VOID and not rest.endswith("/"):
                 stack.append((name, path, out, link or name == "a"))
         if at < len(source):
             add(source[at:])
         flush()
+        total = sum(self.chars.values()) + sum(marked.values())
+        return {k for k, n in marked.items() if 2 * n > total}
 
     def mass(self) -> tuple[Counter, Counter]:
         """Characters of text and of linked text under each path, those of the paths below it included."""

@@ -548,6 +548,13 @@ def test_copies_of_an_article_are_not_its_template(spark):
     assert all(got[i] == "\n\n".join(f"Paragraph {k} of the copied article" for k in range(4)) for i in range(12)) and got[20] == "Own text 20 of this page"
 
 
+def test_class_names_do_not_empty_a_page(spark):
+    text = "the text of the article " * 9
+    pages = [f"<body class='single has-sidebar'><p>{text}</p></body>", f"<body><main class='page-with-nav search'><p>{text}</p></main></body>", f"<body><article class='post no-comments'><p>{text}</p></article></body>", f"<body><div id='legal-article'><p>{text}</p></div></body>", f"<body><div class='legal'><p>{text}</p><div class='share'>Share it</div></div></body>"]
+    got = extracted(spark, [(i, f"http://h{i}.example", h) for i, h in enumerate(pages)])
+    assert set(got.values()) == {text.strip()}
+
+
 def test_classes_nest_in_a_template(spark):
     df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + "<p>Some words here {0} {1}</p>".format(i, i * 7) * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
