@@ -2,7 +2,7 @@
 
 The reader walks the chain of image directories (either byte order, 32-bit offsets), decodes strips or tiles stored plain,
 as PackBits, LZW or deflate, undoes the horizontal predictor and emits one row per page. It reads 8-bit samples of any
-number per pixel, chunky layout, and 1- to 8-bit grey stored in bytes; what it can't read makes a row with an error, not an
+number per pixel, in chunky layout; what it can't read makes a row with an error, not an
 exception.
 
 Defined cases: null media give no row; bytes that are no TIFF give one row with an error and page null; a directory that
@@ -162,6 +162,14 @@ def _unpack(data: bytes, kind: int, size: int) -> bytes:
 
 def pages(media: bytes) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """(width, height, samples, pixels) of each page, pixels as height x width x samples bytes."""
+    for found in pages_or_errors(media):
+        if isinstance(found, BadTiff):
+            raise found
+        yield found
+
+
+def pages_or_errors(media: bytes) -> Iterator[tuple[int, int, int, np.ndarray] | BadTiff]:
+    """Each page, or why it can't be read; raises where the file has no further page to go to."""
     order = {b"II": "<", b"MM": ">"}.get(media[:2])
     if order is None or len(media) < 8 or struct.unpack(order + "H", media[2:4])[0] != 42:
         raise BadTiff("no TIFF header")
@@ -173,7 +181,11 @@ def pages(media: bytes) -> Iterator[tuple[int, int, int, np.ndarray]]:
             tags, at = _directory(media, order, at)
         except struct.error as e:
             raise BadTiff("a directory lies outside the file") from e
-        yield _page(media, tags)
+        try:
+            found = _page(media, tags)
+        except BadTiff as e:
+            found = e
+        yield found
 
 
 def _directory(media: bytes, order: str, at: int) -> tuple[dict[int, tuple[int, ...]], int]:
@@ -274,18 +286,20 @@ def read_pages(media: DataFrame, column: str = "media") -> DataFrame:
             for i, data in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 if data is None:
                     continue
-                n, error = 0, None
-                walk = pages(data)
+                n, error, bad = 0, None, False
+                walk = pages_or_errors(data)
                 while True:
                     try:
-                        width, height, samples, pixels = next(walk)
+                        found = next(walk)
+                        bad = isinstance(found, BadTiff)
+                        width, height, samples, pixels = (None,) * 4 if bad else found
                     except StopIteration:
                         break
                     except BadTiff as e:
                         width = height = samples = pixels = None
                         error = str(e)
                     row.append(i)
-                    for column_, x in zip(out, (None if error and not n else n, width, height, samples, None if pixels is None else pixels.tobytes(), error), strict=True):
+                    for column_, x in zip(out, (None if error and not n else n, width, height, samples, None if pixels is None else pixels.tobytes(), str(found) if bad and not error else error), strict=True):
                         column_.append(x)
                     n += 1
                     if error:

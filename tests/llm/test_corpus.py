@@ -489,6 +489,17 @@ def test_pages_as_rows(spark):
     assert {r["id"] for r in got if r["error"]} == {3, 4, 5}
 
 
+def test_pages_after_an_unreadable_one_are_read(spark):
+    import struct
+
+    data = bytearray(tiff.write([np.zeros((2, 3), np.uint8), np.ones((1, 4), np.uint8), np.ones((5, 2), np.uint8)]))
+    entry = struct.pack("<HHIHH", tiff.BITS, 3, 1, 8, 0)
+    at = data.index(entry, data.index(entry) + 1)
+    struct.pack_into("<H", data, at + 8, 16)  # the second page has 16-bit samples
+    got = tiff.read_pages(spark.createDataFrame([(1, bytes(data))], "id int, media binary")).collect()
+    assert [(r["page"], r["width"], r["error"] is None) for r in got] == [(0, 3, True), (1, None, False), (2, 2, True)]
+
+
 def test_payloads_come_back(spark):
     docs = documents(spark, AWKWARD)
     for r in tiff.digests(tiff.encoded(docs)).collect():
