@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +28,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def n_splits(df: DataFrame) -> int:
+    """How many tasks read a table."""
+    return df.rdd.getNumPartitions()
+
+
 def read_texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table of texts, all of it; one of a few splits, so of a few hundred MB at most, is spread over the cores."""
     df = read_table(spark, sf_dir, name)
     df = df.select(*columns) if columns else df
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= min(FEW_SPLITS, cores - 1) else df
+    return df.repartition(cores) if n_splits(df) <= min(FEW_SPLITS, cores - 1) else df
 
 
 _OWN_SCRATCH: list[str] = []
@@ -52,11 +59,18 @@ def scratch_dir(spark: SparkSession) -> str:
 _STAGED: list[str] = []
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables that this driver staged. Call it once results are written: they read these tables lazily."""
+def staged_tables() -> tuple[str, ...]:
+    return tuple(_STAGED)
+
+
+def drop_staged(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables that this driver staged, but for those to keep. Call it once results are written: they read these
+    tables lazily."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    while _STAGED:
-        path = hadoop.Path(_STAGED.pop())
+    gone = [p for p in _STAGED if p not in keep]
+    _STAGED[:] = [p for p in _STAGED if p in keep]
+    for p in gone:
+        path = hadoop.Path(p)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -110,8 +124,26 @@ def batch(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f in schema for c in [columns[f.name]]], schema=schema)
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Smaller slices of the incoming batches, so that what one slice makes stays small even for very long texts."""
+#: A slice of a batch holds at most so many rows and, but for single rows that are larger, so many bytes of texts and lists.
+SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
+
+
+def _weights(column: pa.Array) -> np.ndarray | None:
+    kind = column.type
+    if pa.types.is_list(kind):
+        return pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * 8
+    if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+        return pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return None
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the incoming batches, bounded in rows and bytes, so that what one slice makes stays small for very long texts."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        weights = [w for w in map(_weights, b.columns) if w is not None]
+        ends = np.cumsum(sum(weights)) if weights else np.zeros(b.num_rows, np.int64)
+        at, before = 0, 0
+        while at < b.num_rows:
+            stop = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+            yield b.slice(at, stop - at)
+            at, before = stop, int(ends[stop - 1])
