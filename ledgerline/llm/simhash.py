@@ -6,12 +6,13 @@ included. Fingerprints link at ``DISTANCE`` = 3 or fewer differing bits.
 Method: the 64 bits are split into ``BLOCKS`` = 6 blocks; two fingerprints at distance three or less share at least three
 blocks, so each distinct fingerprint goes to 20 buckets, one for each choice of three blocks (about 32 bits), and is
 compared inside its buckets only. Copies meet first: a bucket holds distinct fingerprints. A bucket emits a star for each
-of its connected groups, at most one link per member, never its pairs. Buckets of more than ``BUCKET_LIMIT`` fingerprints
-are not compared in a task: their members meet in the ball join of ``_ball_links``, which is exact, linear in their number
-and has groups bounded by geometry (a ball of radius one has 65 points).
+of its connected groups, at most one link per member, never its pairs. Buckets are counted first: those of more than
+``BUCKET_LIMIT`` fingerprints never meet in a task; their members go to the ball join of ``_ball_links``, which is exact,
+linear in their number and has groups bounded by geometry (a ball of radius one has 65 points).
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; repeated rows and ties are one class;
-a class whose rows all have a null doc_id has a null component; empty tables give empty results.
+ids may be of any type that has an order; rows with a null doc_id link others like any row, and a component of such rows
+alone has a null id; empty tables give empty results; extra columns are ignored by ``near_duplicates``.
 """
 
 from __future__ import annotations
@@ -43,14 +44,26 @@ def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, blocks - distance)]
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of one whole text."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included; a shorter text is one shingle, an empty one none."""
     words = common.words_of(text or "")
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - shingle + 1)
     grams = zip(*[words[i:] for i in range(shingle)], strict=False) if len(words) >= shingle else [words]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, grams), repeat(SEED)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, grams), repeat(SEED)), np.uint64, n)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of one whole text."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of a text by its shingles' hashes; zero for none."""
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, n, _CHUNK):
         part = hashes[at : at + _CHUNK].astype("<u8")
@@ -71,9 +84,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return common.map_arrow(docs.select("doc_id", F.col("text").cast("string")), work, f"doc_id {id_type}, fp long")
 
 
-def _stars(fp: np.ndarray, rep: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, int]]:
-    """For each connected group of a bucket: its members' representatives without the least one, and the least."""
-    left = np.argsort(rep, kind="stable")
+def _stars(fp: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, int]]:
+    """For each connected group of a bucket of distinct sorted fingerprints: its members without the first, and the first."""
+    left = np.arange(len(fp))
     while len(left) > 1:
         group, left = [left[0]], left[1:]
         for at in group:  # grows while it is walked
@@ -83,57 +96,49 @@ def _stars(fp: np.ndarray, rep: np.ndarray, distance: int) -> Iterator[tuple[np.
             group.extend(left[near])
             left = left[~near]
         if len(group) > 1:
-            yield rep[group[1:]], rep[group[0]]
-
+            yield fp[group[1:]], fp[group[0]]
 
-def _bucket_links(distance: int, limit: int):
-    """Streams rows sorted by bucket; emits links, or the members of a bucket over the limit with a null b."""
 
-    def solve(fp: list[np.ndarray], rep: list[np.ndarray]) -> tuple[list, list]:
-        fp, rep = np.concatenate(fp), np.concatenate(rep)
-        a, b = [], []
-        for members, least in _stars(fp, rep, distance):
-            a.append(members)
-            b.append(np.full(len(members), least))
-        return a, b
+def _bucket_links(distance: int):
+    """Streams (part, key, fp) sorted by bucket; emits links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "fp"]
-        open_key, open_fp, open_rep, open_n, over = None, [], [], 0, False
-
-        def rows(a: list, b: list | None, fp: list | None = None) -> pa.RecordBatch:
-            a = np.concatenate(a) if a else np.zeros(0, np.int64)
-            none = pa.nulls(len(a), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(np.concatenate(b) if b else a), none if fp is None else pa.array(np.concatenate(fp).view(np.int64))], names=names)
+        open_key, held, n = None, [], 0
+        a: list[np.ndarray] = []
+        b: list[np.ndarray] = []
+
+        def solve() -> None:
+            if n > 1:
+                for members, least in _stars(np.concatenate(held), distance):
+                    a.append(members)
+                    b.append(np.full(len(members), least))
+
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)]
+            a.clear()
+            b.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part, key, fp, rep = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            part, key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             fp = fp.view(np.uint64)
             cut = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1])) + 1
             start, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
-            links_a, links_b = [], []
             for k in np.unique(np.concatenate([[0], np.flatnonzero(end - start > 1), [len(start) - 1]])):
                 s, e = start[k], end[k]
                 this = (part[s], key[s])
                 if this != open_key:
-                    if open_n > 1 and not over:
-                        a, b = solve(open_fp, open_rep)
-                        links_a += a
-                        links_b += b
-                    open_key, open_fp, open_rep, open_n, over = this, [], [], 0, False
-                open_fp.append(fp[s:e].copy())
-                open_rep.append(rep[s:e].copy())
-                open_n += e - s
-                if open_n > limit:
-                    over = True
-                    yield rows(open_rep, None, open_fp)
-                    open_fp, open_rep = [], []
-            if links_a:
-                yield rows(links_a, links_b)
-        if open_n > 1 and not over:
-            yield rows(*solve(open_fp, open_rep))
+                    solve()
+                    open_key, held, n = this, [], 0
+                held.append(fp[s:e].copy())
+                n += e - s
+            if a:
+                yield rows()
+        solve()
+        if a:
+            yield rows()
 
     return work
 
@@ -147,35 +152,36 @@ def _ball_links(members: DataFrame) -> DataFrame:
     one = [0] + [1 << i for i in range(64)]
     two = one + [(1 << i) | (1 << j) for i, j in combinations(range(64), 2)]
     signed = lambda xs: F.array(*[F.lit(x - (1 << 64) if x >> 63 else x) for x in xs])
-    points = lambda xs: members.select("rep", F.explode(F.transform(signed(xs), lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
-    hubs = common.staged(points(one).groupBy("point").agg(F.min("rep").alias("hub")), "hubs")
-    return points(two).join(hubs, "point").where("rep != hub").select(F.col("rep").alias("a"), hubs["hub"].alias("b")).distinct()
+    points = lambda xs: members.select("fp", F.explode(F.transform(signed(xs), lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
+    hubs = common.staged(points(one).groupBy("point").agg(F.min("fp").alias("hub")), "hubs")
+    return points(two).join(hubs, "point").where("fp != hub").select(F.col("fp").alias("a"), hubs["hub"].alias("b")).distinct()
 
 
 def links(classes: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
-    """Links between representatives whose components are those of the links at distance three or less. classes: fp, rep."""
+    """Links (a, b) between fingerprints whose components are those of the links at distance three or less. classes: distinct fp."""
     spark = classes.sparkSession
-    masks = block_masks()
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks()]
     keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
-    dealt = classes.where(F.col("rep").isNotNull()).select(F.explode(keys).alias("k"), "fp", F.col("rep").cast("long").alias("rep")).select("k.part", "k.key", "fp", "rep")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(width, "part", "key").sortWithinPartitions("part", "key", "rep")
-    found = common.staged(common.map_arrow(dealt, _bucket_links(DISTANCE, limit), "a long, b long, fp long"), "links")
-    out = found.where(F.col("b").isNotNull()).select("a", "b")
-    over = found.where(F.col("b").isNull())
+    dealt = classes.select(F.explode(keys).alias("k"), "fp").select("k.part", "k.key", "fp")
+    over = common.staged(dealt.groupBy("part", "key").count().where(F.col("count") > limit).drop("count"), "over")
+    balls = None
     if not over.isEmpty():
-        out = out.unionByName(_ball_links(over.select(F.col("a").alias("rep"), "fp").distinct()))
-    return out
+        balls = _ball_links(common.staged(dealt.join(over, ["part", "key"], "left_semi").select("fp").distinct(), "members"))
+        dealt = dealt.join(over, ["part", "key"], "left_anti")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(width, "part", "key").sortWithinPartitions("part", "key", "fp")
+    out = common.map_arrow(dealt, _bucket_links(DISTANCE), "a long, b long")
+    return out if balls is None else out.unionByName(balls)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = BUCKET_LIMIT) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs."""
+    """(doc_id, fp, component_id) for each row of docs; a component is named by its least doc_id."""
     marked = common.staged(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
     classes = common.staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    roots = components(links(classes, limit))
-    labels = classes.join(roots, classes["rep"] == roots["node"], "left").select(classes["fp"], F.coalesce("root", "rep").alias("component_id"))
-    return marked.join(common.staged(labels, "labels"), "fp")
+    roots = components(links(classes.select("fp"), limit))
+    named = common.staged(classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "named")
+    names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return marked.join(common.staged(named.join(names, "root").select("fp", "component_id"), "labels"), "fp")
 
 
 def dedup_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
