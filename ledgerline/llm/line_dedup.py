@@ -4,9 +4,9 @@ A line's key is the line without ASCII white space at its ends, with A-Z in lowe
 ``min_chars`` code points that two or more documents hold keeps its lines in the smallest doc_id alone.
 
 Method: 128-bit key hashes are range-partitioned and sorted by document and position; a window streams the first
-document of each key. A key with more than 1/``HOT_PARTS`` of all lines never enters that window: there are fewer than
-``HOT_PARTS`` such keys by arithmetic, so their first documents are found by a pre-aggregated group-by and joined back
-as a broadcast of bounded size. What is returned per document is a run-length compressed keep bitmap: the ranges
+document of each key. A key with more than 1/``HOT_PARTS`` of all lines, or an eighth of a partition's share where there are
+over ``HOT_PARTS`` / 8 partitions, never enters that window: there are fewer such keys than that divisor by arithmetic, so
+their first documents are found by a pre-aggregated group-by and joined back as a broadcast of bounded size. What is returned per document is a run-length compressed keep bitmap: the ranges
 (start, len) of lines that stay.
 
 Defined cases: a null text is one empty line; lines with a null doc_id neither count nor go; rows with equal doc_id and
@@ -49,17 +49,17 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     part = F.pmod(F.col("h1"), F.lit(1 << 16))
     sums = lines.groupBy(part.alias("part")).count()
     total = sums.agg(F.sum("count")).first()[0] or 0
-    least = max(HOT_LEAST, total // HOT_PARTS)
-    parts = [r["part"] for r in sums.where(F.col("count") > least).collect()]  # fewer than HOT_PARTS, as they sum to the total
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = max(HOT_LEAST, total // max(HOT_PARTS, 8 * width))
+    parts = [r["part"] for r in sums.where(F.col("count") > least).collect()]  # fewer than the divisor, as they sum to the total
     cold, gone = lines, None
     if parts:
         hot = lines.where(part.isin(parts)).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") > least).drop("n")
-        rows = hot.collect()  # fewer than HOT_PARTS as well
+        rows = hot.collect()  # as many at most
         if rows:
             hot = F.broadcast(spark.createDataFrame(rows, hot.schema))
             cold = lines.join(hot, ["h1", "h2"], "left_anti")
             gone = lines.join(hot, ["h1", "h2"]).where(F.col("doc_id") != F.col("first_doc")).select("doc_id", "text_hash", "pos")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_by_key = Window.partitionBy("h1", "h2").orderBy("doc_id", "pos")
     repeats = cold.repartitionByRange(width, "h1", "h2").withColumn("first_doc", F.first("doc_id").over(sorted_by_key)).where(F.col("doc_id") != F.col("first_doc")).select("doc_id", "text_hash", "pos")
     return repeats if gone is None else repeats.unionByName(gone)
