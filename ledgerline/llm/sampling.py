@@ -32,8 +32,10 @@ def labelled_sample(labels: DataFrame, column: str, bound: int) -> tuple[DataFra
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(doc_id, text, y) of the sample's documents; the sample is bounded, so it is broadcast and no text is shuffled."""
-    return docs.select("doc_id", common.text_of(F.col("text")).alias("text")).join(F.broadcast(sample), "doc_id")
+    """(doc_id, text, y) of the sample's documents, repeated rows once; the sample is bounded, so it is broadcast, and no
+    other text is shuffled. Of several texts of one id the least counts, so the bound holds."""
+    found = docs.select("doc_id", common.text_of(F.col("text")).alias("text")).join(F.broadcast(sample), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def trained(examples: DataFrame, order: list[str], work: Callable) -> bytes:

@@ -6,7 +6,9 @@ share among the others, smoothed by ``ALPHA``. The ``KEEP`` slots that tell the
 regression with an L2 penalty is fitted on presence times ratio (L-BFGS), and both factors fold into one weight a slot.
 
 Training reads at most ``SAMPLE`` labelled documents, taken by a hash of their ids, half of each class where there are as
-many; the intercept is set back to the classes' shares in all labels. Scoring covers every whole text.
+many; the intercept is set back to the classes' shares in all labels. The slots are counted in each task and summed by a
+shuffle; then each document is cut down to the chosen slots, at most ``KEEP``, and only those go to the one task that fits
+the regression. Scoring covers every whole text.
 
 Defined cases: null and empty texts have the intercept's score; repeated rows score alike; with no labels every score is
 0.5; labels of unknown documents and nulls count for nothing; extra columns are ignored.
@@ -16,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -94,34 +95,15 @@ def _lbfgs(loss, w: np.ndarray, rounds: int = 60, memory: int = 8) -> np.ndarray
     return w
 
 
-def train(examples: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
-    """One weight a slot, the intercept last. examples: (label, distinct slots), read once and kept in a temporary file,
-    from which only the chosen slots come back to memory."""
-    size = 1 << BITS
-    weights = np.zeros(size + 1, np.float32)
-    p, q, labels, sizes = np.zeros(size), np.zeros(size), [], []
-    with tempfile.TemporaryFile() as kept:
-        for label, at in examples:
-            (p if label else q)[at] += 1
-            kept.write(at.astype(np.int32).tobytes())
-            labels.append(float(label))
-            sizes.append(len(at))
-        y = np.array(labels)
-        n1, n0 = int(y.sum()), int((1 - y).sum())
-        if not n1 or not n0:
-            weights[-1] = 0.0 if not n1 + n0 else (4.0 if n1 else -4.0)
-            return weights
-        ratio, chosen = _chosen(p, q, n1, n0)
-        place = np.full(size, -1, np.int32)
-        place[chosen] = np.arange(len(chosen))
-        kept.seek(0)
-        rows = []
-        for n in sizes:
-            at = place[np.frombuffer(kept.read(4 * n), np.int32)]
-            rows.append(at[at >= 0])
+def train(rows: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """One weight a slot, the intercept last. rows: each document's places in chosen; ratio: each chosen slot's log-count ratio."""
+    weights = np.zeros((1 << BITS) + 1, np.float32)
+    n1, n0 = int(y.sum()), int((1 - y).sum())
+    if not n1 or not n0:
+        weights[-1] = 0.0 if not n1 + n0 else (4.0 if n1 else -4.0)
+        return weights
     row, col = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
-    scale = ratio[chosen]
-    value = scale[col]
+    value = ratio[col]
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         margin = np.bincount(row, value * w[col], len(rows)) + w[-1]
@@ -130,14 +112,14 @@ def train(examples: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
         return float(np.logaddexp(0, margin).sum() - (y * margin).sum() + PENALTY / 2 * (w[:-1] @ w[:-1])), grad
 
     w = _lbfgs(loss, np.append(np.zeros(len(chosen)), math.log(n1 / n0)))
-    weights[chosen] = w[:-1] * scale
+    weights[chosen] = w[:-1] * ratio
     weights[-1] = w[-1]
     return weights
 
 
 def _chosen(p: np.ndarray, q: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
     """The log-count ratio of every slot, and the slots that tell the classes apart best by the likelihood ratio of
-    their presence: what a slot tells, not only how lopsided it is."""
+    their presence: what a slot tells, not only how lopsided it is. Slots of fewer than three documents tell nothing."""
     ratio = np.log((p + ALPHA) / (p + ALPHA).sum()) - np.log((q + ALPHA) / (q + ALPHA).sum())
     there, total = p + q, n1 + n0
     a, b = (p + 0.5) / (n1 + 1), (q + 0.5) / (n0 + 1)
@@ -161,15 +143,42 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", bound: int =
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(1 << BITS, bool)
         for b in common.pieces_of(batches):
-            rows = [present(t, flags).astype(np.int32).tobytes() for t in b.column(1).to_pylist()]
+            rows = [zlib.compress(present(t, flags).astype("<i4").tobytes(), 1) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["y", "slots"])
 
+    def unpacked(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        for y, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            yield y, np.frombuffer(zlib.decompress(s), "<i4")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.zeros((2, 1 << BITS), np.int64)
+        for b in common.pieces_of(batches):
+            for y, at in unpacked(b):
+                there[y, at] += 1
+        at = np.flatnonzero(there.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(there[1, at]), pa.array(there[0, at])], names=["slot", "p", "q"])
+
+    examples = common.staged(common.map_arrow(sampling.sampled_texts(docs, sample).select("y", "text"), hashed, "y int, slots binary"), "examples")
+    sizes = {r["y"]: r["count"] for r in examples.groupBy("y").count().collect()}
+    sums = common.map_arrow(examples, count, "slot long, p long, q long").groupBy("slot").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where("p + q >= 3").toArrow()  # a row a slot at most
+    p, q = np.zeros((2, 1 << BITS))
+    p[sums["slot"].to_numpy()], q[sums["slot"].to_numpy()] = sums["p"].to_numpy(), sums["q"].to_numpy()
+    ratio, chosen = _chosen(p, q, sizes.get(1, 0), sizes.get(0, 0))
+    ratio = ratio[chosen]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BITS, -1, np.int32)
+        place[chosen] = np.arange(len(chosen))
+        for b in common.pieces_of(batches):
+            rows = [place[at] for _, at in unpacked(b)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[r >= 0].tobytes() for r in rows], pa.binary())], names=["y", "slots"])
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((y, np.frombuffer(s, np.int32)) for b in common.pieces_of(batches, 64) for y, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(train(rows).tobytes(), 1)], pa.binary())], names=["model"])
+        rows = [(y, np.frombuffer(s, np.int32)) for b in common.pieces_of(batches) for y, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        model = train([r for _, r in rows], np.array([float(y) for y, _ in rows]), chosen, ratio)
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(model.tobytes(), 1)], pa.binary())], names=["model"])
 
-    examples = common.map_arrow(sampling.sampled_texts(docs, sample).select("y", "text"), hashed, "y int, slots binary")
-    examples = examples.withColumn("place", F.xxhash64("slots"))
+    examples = common.map_arrow(examples, cut, "y int, slots binary").withColumn("place", F.xxhash64("slots"))
     weights = np.frombuffer(zlib.decompress(sampling.trained(examples, ["place", "y"], learn)), np.float32).copy()
     weights[-1] -= sampling.log_odds_shift(shares)
     return weights
