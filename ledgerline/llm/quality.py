@@ -6,8 +6,8 @@ vector holds each feature's share of its n-grams. Weights come from FTRL-proxima
 ``EPOCHS`` passes; a score is the sparse dot product of vector and weights, through the logistic function.
 
 Training reads at most ``SAMPLE`` labelled documents, taken by a hash of their ids, half of each class where there are as
-many; the intercept is set back to the classes' shares in all labels. One task trains, in a fixed order, and keeps the
-hashed sample in a temporary file, so memory is that of the weights. Scoring covers every whole text.
+many; the intercept is set back to the classes' shares in all labels. Updates follow one another, so one task trains, in a
+fixed order; it holds the weights and, packed, the vectors of the bounded sample. Scoring covers every whole text.
 
 Defined cases: null and empty texts have the intercept's score; repeated rows score alike; with no labels every score is
 0.5; labels of unknown documents and nulls count for nothing; extra columns are kept by ``filter_quality``.
@@ -16,7 +16,6 @@ Defined cases: null and empty texts have the intercept's score; repeated rows sc
 from __future__ import annotations
 
 import re
-import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ from . import common, sampling
 BITS = 20
 SAMPLE = 12_000
 #: Passes over the sample: at least EPOCHS, and more over a small one, up to EPOCHS_MOST, until STEPS updates are made.
-EPOCHS, EPOCHS_MOST, STEPS = 4, 40, 24_000
+EPOCHS, EPOCHS_MOST, STEPS = 4, 40, 48_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-6, 1e-6
 SCALE = 20.0
 KEEP_FROM = 0.3
@@ -68,13 +67,20 @@ def features(text: str, words: _Words) -> np.ndarray:
     return ((np.concatenate(views) * _MIX) >> _TURN).astype(np.int64)
 
 
-def _vector(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def vector(slots: np.ndarray) -> bytes:
+    """A document's vector, packed: distinct slots and how often each occurs."""
     at, n = np.unique(slots, return_counts=True)
-    return at, (n * (SCALE / max(1, len(slots)))).astype(np.float32)
+    return zlib.compress(at.astype("<i4").tobytes() + n.astype("<i4").tobytes(), 1)
 
 
-def train(examples: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
-    """Weights, the intercept last. examples: (label, slots), read once and kept in a temporary file for later epochs."""
+def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of a vector and each one's share of the n-grams, times SCALE."""
+    at, n = np.frombuffer(zlib.decompress(packed), "<i4").reshape(2, -1).astype(np.int64)
+    return at, (n * (SCALE / max(1, n.sum()))).astype(np.float32)
+
+
+def train(examples: Iterator[tuple[int, bytes]]) -> np.ndarray:
+    """Weights, the intercept last. examples: (label, packed vector)."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     bias = np.array([1 << BITS])
 
@@ -86,19 +92,10 @@ def train(examples: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
         z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
         n[at] += g * g
 
-    with tempfile.TemporaryFile() as kept:
-        sizes = []
-        for y, slots in examples:
-            at, x = _vector(slots)
-            kept.write(at.astype(np.int32).tobytes() + x.tobytes())
-            sizes.append((y, len(at)))
-            step(y, at, x)
-        epochs = min(EPOCHS_MOST, max(EPOCHS, STEPS // max(1, len(sizes))))
-        for _ in range(epochs - 1):
-            kept.seek(0)
-            for y, m in sizes:
-                at = np.frombuffer(kept.read(4 * m), np.int32).astype(np.int64)
-                step(y, at, np.frombuffer(kept.read(4 * m), np.float32))
+    held = list(examples)
+    for _ in range(min(EPOCHS_MOST, max(EPOCHS, STEPS // max(1, len(held))))):
+        for y, packed in held:
+            step(y, *unpacked(packed))
     return (-(z - np.clip(z, -L1, L1)) / ((BETA + np.sqrt(n)) / ALPHA + L2)).astype(np.float32)
 
 
@@ -115,15 +112,15 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in common.pieces_of(batches):
-            slots = [features(t, words).astype(np.int32).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(slots, pa.binary())], names=["y", "slots"])
+            vectors = [vector(features(t, words)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(vectors, pa.binary())], names=["y", "vector"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((y, np.frombuffer(s, np.int32).astype(np.int64)) for b in common.pieces_of(batches, 64) for y, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        rows = (row for b in common.pieces_of(batches) for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(train(rows).tobytes(), 1)], pa.binary())], names=["model"])
 
-    examples = common.map_arrow(sampling.sampled_texts(docs, sample).select("y", "text"), hashed, "y int, slots binary")
-    examples = examples.withColumn("place", F.xxhash64("slots"))
+    examples = common.map_arrow(sampling.sampled_texts(docs, sample).select("y", "text"), hashed, "y int, vector binary")
+    examples = examples.withColumn("place", F.xxhash64("vector"))
     weights = np.frombuffer(zlib.decompress(sampling.trained(examples, ["place", "y"], learn)), np.float32).copy()
     weights[-1] -= sampling.log_odds_shift(shares)
     return weights
