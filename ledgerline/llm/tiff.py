@@ -2,11 +2,13 @@
 
 The reader walks the chain of image directories (either byte order, 32-bit offsets), decodes strips or tiles stored plain,
 as PackBits, LZW or deflate, undoes the horizontal predictor and emits one row per page. It reads 8-bit samples of any
-number per pixel, in chunky layout; what it can't read makes a row with an error, not an
-exception.
+number per pixel, in chunky layout. What it can't read makes a row with an error, not an exception: counts, offsets and sizes
+are checked against the bytes that are there, and a page's pixels get memory as its strips or tiles are decoded, so a header
+can't ask for more than ``EXPAND`` times the bytes of its file (more than deflate or LZW can pack).
 
 Defined cases: null media give no row; bytes that are no TIFF give one row with an error and page null; a directory that
-links back to an earlier one ends the walk; extra columns are kept.
+links back to an earlier one ends the walk; a page that can't be read keeps its number, and the pages after it are read;
+extra columns are kept, those named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ from . import common
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 #: Tags of the format that are read or written.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, STRIP_ROWS, STRIP_BYTES, PREDICTOR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317
-TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_BYTES = 322, 323, 324, 325
+TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_BYTES, PLANES = 322, 323, 324, 325, 284
 _TYPES = {1: "B", 3: "H", 4: "I"}
 UNIT = 576
 PAGE_ROWS = 64
+EXPAND = 1500
 
 
 class BadTiff(ValueError):
@@ -150,7 +153,7 @@ def _unpack(data: bytes, kind: int, size: int) -> bytes:
         return data
     if kind in (DEFLATE, OLD_DEFLATE):
         try:
-            return zlib.decompressobj().decompress(data, size)
+            return zlib.decompressobj().decompress(data, size) if size else b""
         except zlib.error as e:
             raise BadTiff(f"deflate: {e}") from e
     if kind == LZW:
@@ -193,45 +196,52 @@ def _directory(media: bytes, order: str, at: int) -> tuple[dict[int, tuple[int,
     tags = {}
     for i in range(n):
         tag, kind, count = struct.unpack_from(order + "HHI", media, at + 2 + 12 * i)
-        if kind not in _TYPES:
+        if kind not in _TYPES or not count:
             continue
-        form = f"{order}{count}{_TYPES[kind]}"
+        size = struct.calcsize(_TYPES[kind]) * count
         place = at + 10 + 12 * i
-        if struct.calcsize(form) > 4:
+        if size > 4:
             (place,) = struct.unpack_from(order + "I", media, place)
-        tags[tag] = struct.unpack_from(form, media, place)
+        if place + size <= len(media):  # a tag whose values lie outside the file counts as missing
+            tags[tag] = struct.unpack_from(f"{order}{count}{_TYPES[kind]}", media, place)
     return tags, struct.unpack_from(order + "I", media, at + 2 + 12 * n)[0]
 
 
 def _page(media: bytes, tags: dict[int, tuple[int, ...]]) -> tuple[int, int, int, np.ndarray]:
-    try:
-        width, height = tags[WIDTH][0], tags[HEIGHT][0]
-    except KeyError as e:
-        raise BadTiff("no size") from e
-    samples, kind, predictor = tags.get(SAMPLES, (1,))[0], tags.get(COMPRESSION, (NONE,))[0], tags.get(PREDICTOR, (1,))[0]
-    if set(tags.get(BITS, (8,))) != {8} or tags.get(284, (1,))[0] != 1 or predictor not in (1, 2):
+    one = lambda tag, default=0: tags.get(tag, (default,))[0]
+    width, height, samples = one(WIDTH), one(HEIGHT), one(SAMPLES, 1)
+    if not width or not height or not samples:
+        raise BadTiff("no size")
+    kind, predictor = one(COMPRESSION, NONE), one(PREDICTOR, 1)
+    if set(tags.get(BITS, (1,))) != {8} or one(PLANES, 1) != 1 or predictor not in (1, 2):
         raise BadTiff("only chunky 8-bit samples and the horizontal predictor are read")
-    if TILE_OFFSETS in tags:
-        across, down = tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]
-        parts = list(zip(tags[TILE_OFFSETS], tags[TILE_BYTES], strict=True))
+    tiled = TILE_OFFSETS in tags
+    if tiled:
+        across, down, starts, sizes = one(TILE_WIDTH), one(TILE_HEIGHT), tags[TILE_OFFSETS], tags.get(TILE_BYTES, ())
     else:
-        across, down = width, min(height, tags.get(STRIP_ROWS, (height,))[0])
-        parts = list(zip(tags.get(STRIP_OFFSETS, ()), tags.get(STRIP_BYTES, ()), strict=True))
+        across, down, starts, sizes = width, min(height, one(STRIP_ROWS, height)), tags.get(STRIP_OFFSETS, ()), tags.get(STRIP_BYTES, ())
     per_row = -(-width // across) if across else 0
-    if not per_row or not down or per_row * -(-height // down) != len(parts):
+    if not per_row or not down or len(starts) != len(sizes) or per_row * -(-height // down) != len(starts):
         raise BadTiff("strips or tiles don't cover the page")
-    out = np.zeros((height, width, samples), np.uint8)
-    for i, (start, size) in enumerate(parts):
-        top, left = i // per_row * down, i % per_row * across
-        rows = down if TILE_OFFSETS in tags else min(down, height - top)
-        raw = _unpack(media[start : start + size], kind, rows * across * samples)
-        if len(raw) < rows * across * samples:
-            raise BadTiff("a strip or tile is short")
-        block = np.frombuffer(raw, np.uint8, rows * across * samples).reshape(rows, across, samples)
-        if predictor == 2:
-            block = np.add.accumulate(block, axis=1, dtype=np.uint8)
-        out[top : top + rows, left : left + across] = block[: height - top, : width - left]
-    return width, height, samples, out
+    if any(start + size > len(media) for start, size in zip(starts, sizes, strict=True)):
+        raise BadTiff("a strip or tile lies outside the file")
+    if across * down * len(starts) * samples > EXPAND * len(media):
+        raise BadTiff("the size stated can't come from a file of this size")
+    bands = []  # each the height of a strip or a row of tiles
+    for top in range(0, height, down):
+        rows = down if tiled else min(down, height - top)
+        band = np.zeros((rows, per_row * across, samples), np.uint8)
+        for k in range(per_row):
+            i = top // down * per_row + k
+            raw = _unpack(media[starts[i] : starts[i] + sizes[i]], kind, rows * across * samples)
+            if len(raw) < rows * across * samples:
+                raise BadTiff("a strip or tile is short")
+            block = np.frombuffer(raw, np.uint8, rows * across * samples).reshape(rows, across, samples)
+            if predictor == 2:
+                block = np.add.accumulate(block, axis=1, dtype=np.uint8)
+            band[:, k * across : (k + 1) * across] = block
+        bands.append(band[: height - top, :width])
+    return width, height, samples, bands[0] if len(bands) == 1 else np.concatenate(bands)
 
 
 def write(images: list[np.ndarray], kind: int = DEFLATE, predictor: int = 2, strip_rows: int = PAGE_ROWS, tile: tuple[int, int] | None = None, order: str = "<") -> bytes:
@@ -276,37 +286,37 @@ def write(images: list[np.ndarray], kind: int = DEFLATE, predictor: int = 2, str
 
 def read_pages(media: DataFrame, column: str = "media") -> DataFrame:
     """One row per page: the other columns, page (from 0), width, height, samples, pixels (bytes) and error."""
-    others = [c for c in media.columns if c != column]
-    fields = [f"`{c}` {media.schema[c].dataType.simpleString()}" for c in others]
     own = ("page int", "width int", "height int", "samples int", "pixels binary", "error string")
+    names = [o.split()[0] for o in own]
+    others = [c for c in media.columns if c != column and c not in names]
+    fields = [f"`{c}` {media.schema[c].dataType.simpleString()}" for c in others]
+
+    def found_in(data: bytes) -> Iterator[tuple]:
+        n = 0
+        try:
+            for page in pages_or_errors(data):
+                yield (n, None, None, None, None, str(page)) if isinstance(page, BadTiff) else (n, *page[:3], page[3].tobytes(), None)
+                n += 1
+        except BadTiff as e:
+            yield (n or None, None, None, None, None, str(e))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.pieces_of(batches, 64):
-            row, out = [], [[] for _ in own]
+            row, out = [], []
             for i, data in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                if data is None:
-                    continue
-                n, error, bad = 0, None, False
-                walk = pages_or_errors(data)
-                while True:
-                    try:
-                        found = next(walk)
-                        bad = isinstance(found, BadTiff)
-                        width, height, samples, pixels = (None,) * 4 if bad else found
-                    except StopIteration:
-                        break
-                    except BadTiff as e:
-                        width = height = samples = pixels = None
-                        error = str(e)
+                for page in found_in(data) if data is not None else ():
                     row.append(i)
-                    for column_, x in zip(out, (None if error and not n else n, width, height, samples, None if pixels is None else pixels.tobytes(), str(found) if bad and not error else error), strict=True):
-                        column_.append(x)
-                    n += 1
-                    if error:
-                        break
-            kept = b.select(list(range(b.num_columns - 1))).take(pa.array(row, pa.int64()))
-            types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string())
-            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(out, types, strict=True)]], names=[*others, *[o.split()[0] for o in own]])
+                    out.append(page)
+                    if len(out) >= 64 or sum(len(p[4] or b"") for p in out) > common.SLICE_BYTES:
+                        yield batch(b, row, out)
+                        row, out = [], []
+            if out:
+                yield batch(b, row, out)
+
+    def batch(b: pa.RecordBatch, row: list, out: list) -> pa.RecordBatch:
+        kept = b.select(list(range(b.num_columns - 1))).take(pa.array(row, pa.int64()))
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)]], names=[*others, *names])
 
     return common.map_arrow(media.select(*others, column), work, ", ".join([*fields, *own]))
 
