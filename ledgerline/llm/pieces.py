@@ -12,14 +12,15 @@ result is that of the whole text.
 The scores are those stored with the pieces. The bundled vocabulary was made by merges, so its ids here are those of its
 scores' best path (as the unigram algorithm finds it), not those of replaying its merges.
 
-Defined cases: null and empty texts have no pieces; texts of any length are encoded whole; decoding ignores control ids
-and null ids and puts U+FFFD for bytes that are no UTF-8; repeated rows encode alike; extra columns are kept.
+Defined cases: null and empty texts have no pieces; texts of any length are encoded whole; decoding ignores control ids,
+null ids and ids that the vocabulary doesn't have, and puts U+FFFD for bytes that are no UTF-8; repeated rows encode alike; extra columns are kept.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -115,7 +116,8 @@ class Codec:
     def unit(self, text: str) -> tuple[int, ...]:
         """The ids of the best path through one unit."""
         n = len(text)
-        best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
+        best = array("d", [0.0]) + array("d", [-np.inf]) * n
+        back_from, back_piece = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)  # sixteen bytes a character
         done = 0  # positions up to here are final, but for unknown characters
         single = False
 
@@ -123,7 +125,7 @@ class Codec:
             nonlocal done, single
             while done < upto:
                 if not single and best[done] + self.unknown > best[done + 1]:
-                    best[done + 1], back[done + 1] = best[done] + self.unknown, (done, -1)
+                    best[done + 1], back_from[done + 1], back_piece[done + 1] = best[done] + self.unknown, done, -1
                 done, single = done + 1, False
 
         for end, (length, score, i) in self.automaton.iter(text):
@@ -131,12 +133,12 @@ class Codec:
                 close(end)
             start = end + 1 - length
             if best[start] + score > best[end + 1]:
-                best[end + 1], back[end + 1] = best[start] + score, (start, i)
+                best[end + 1], back_from[end + 1], back_piece[end + 1] = best[start] + score, start, i
             single |= length == 1
         close(n)
         out: list[int] = []
         while n:
-            start, i = back[n]
+            start, i = back_from[n], back_piece[n]
             if i >= 0:
                 out.append(i)
             elif self.bytes:
@@ -178,7 +180,7 @@ class Codec:
         return np.fromiter(chain.from_iterable(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
+        raw = b"".join(map(self.raw.__getitem__, ids[(ids >= 0) & (ids < len(self.raw))].tolist()))
         if self.model.prefix and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode("utf-8", "replace")

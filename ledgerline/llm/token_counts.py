@@ -1,7 +1,7 @@
 """Token counts of fields and sections: whole documents are encoded once, tokens are attributed by their offsets.
 
 Byte-level BPE tokens are pieces of the text's UTF-8 bytes, so the running sum of their lengths gives each token's span. An
-interval join by binary search lays the spans on the sections, which are sorted and disjoint. A token within one section
+interval join by binary search lays the spans on the sections, sorted and made disjoint. A token within one section
 counts there. A token that crosses a boundary is allocated by an explicit rule:
 
 - ``largest`` (default): to the section that holds most of its bytes, the first of several;
@@ -11,7 +11,10 @@ counts there. A token that crosses a boundary is allocated by an explicit rule:
 A token that touches no section counts for section -1, so the counts of a document add up to its tokens.
 
 Defined cases: null and empty texts have no tokens; null or empty sections leave all tokens to section -1; sections are cut
-to the text, and overlapping ones raise; repeated rows count each; extra columns are kept by ``attribute``.
+to the text; they may come in any order and keep their numbers; where sections overlap, what they share belongs to the one
+that starts first (the first listed of several); a section that is null, has a null bound or ends before it starts is empty
+and holds no tokens; repeated rows count each; extra columns are kept by ``attribute``, those named like its results are
+replaced.
 """
 
 from __future__ import annotations
@@ -70,16 +73,29 @@ def byte_offsets(raw: bytes, at: np.ndarray) -> np.ndarray:
     return starts[np.clip(at, 0, len(starts) - 1)]
 
 
+def disjoint(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sections in order of start, each cut to what those before it leave; and their numbers."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum(start, end)[order]
+    before = np.concatenate([[0], np.maximum.accumulate(end)[:-1]]) if len(end) else end
+    start = np.maximum(start, before)
+    return start, np.maximum(start, end), order
+
+
 def allocate(ends: np.ndarray, start: np.ndarray, end: np.ndarray, rule: str = "largest") -> tuple[np.ndarray, np.ndarray]:
     """Tokens for each section and, last, for none; and how many that cross a boundary touch each. Offsets are bytes."""
     k = len(start)
+    if k and ((end < start).any() or (start[1:] < end[:-1]).any()):
+        start, end, order = disjoint(start, end)
+        count, crossing = allocate(ends, start, end, rule)
+        out, crossed = count.copy(), crossing.copy()
+        out[order], crossed[order] = count[:-1], crossing[:-1]
+        return out, crossed
     count, crossing = np.zeros(k + 1), np.zeros(k + 1, np.int64)
     begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     if not k:
         count[-1] = len(ends)
         return count, crossing
-    if (start[1:] < end[:-1]).any():
-        raise ValueError("sections overlap")
     first = np.searchsorted(end, begins, "right")  # the first section that ends after the token's start
     last = np.searchsorted(start, ends, "left") - 1  # the last one that starts before its end
     inside = (first == last) & (start[np.minimum(first, k - 1)] <= begins) & (ends <= end[np.minimum(first, k - 1)])
@@ -102,15 +118,17 @@ def allocate(ends: np.ndarray, start: np.ndarray, end: np.ndarray, rule: str = "
 def attribute(df: DataFrame, path: str = RANKS, rule: str = "largest") -> DataFrame:
     """One row per section: the columns of df without text and sections, then section, n_tokens and n_crossing.
 
-    df has text and sections, an array of (start, end) in characters, sorted and disjoint; section counts from 0 and is -1
+    df has text and sections, an array of (start, end) in characters; section counts from 0 and is -1
     for tokens in none, given only if there are any."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     ranks = read_ranks(path)
     sent = df.sparkSession.sparkContext.broadcast(ranks)
     key = hash((path, len(ranks)))
-    others = [c for c in df.columns if c not in ("text", "sections")]
-    df = df.select(*others, common.text_of(F.col("text")).alias("text"), F.col("sections").cast("array<struct<start:long,end:long>>"))
+    others = [c for c in df.columns if c not in ("text", "sections", "section", "n_tokens", "n_crossing")]
+    spans = F.col("sections").cast("array<struct<start:long,end:long>>")
+    known = F.transform(spans, lambda s: F.when(s["start"].isNull() | s["end"].isNull(), F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))).otherwise(s))
+    df = df.select(*others, common.text_of(F.col("text")).alias("text"), known.alias("sections"))
     m = len(others)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +144,7 @@ def attribute(df: DataFrame, path: str = RANKS, rule: str = "largest") -> DataFr
                 if len(raw) != len(text):
                     s, e = byte_offsets(raw, s), byte_offsets(raw, e)
                 else:
-                    s, e = np.minimum(s, len(raw)), np.minimum(e, len(raw))
+                    s, e = np.clip(s, 0, len(raw)), np.clip(e, 0, len(raw))
                 count, crossing = allocate(encoder.token_ends(text), s, e, rule)
                 n = len(s) + bool(count[-1])
                 row.append(np.full(n, i))
@@ -143,7 +161,8 @@ def attribute(df: DataFrame, path: str = RANKS, rule: str = "largest") -> DataFr
 
 
 def with_line_sections(docs: DataFrame) -> DataFrame:
-    """docs with sections: each line with its line break, so that the sections cover the text."""
+    """docs with sections: each line with its line break, so that the sections cover the text. A column sections is replaced."""
+    docs = docs.drop("sections")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at, names = docs.columns.index("text"), docs.columns
 
