@@ -1,10 +1,15 @@
-"""Near copies by the Jaccard similarity of word shingles: all pairs at ``SIMILARITY`` or more, none by chance.
+"""Near copies by SimHash and by the Jaccard similarity of word shingles: all pairs at ``SIMILARITY`` or more, none by chance.
+
+SimHash alone can't give them: texts that agree in 0.8 of their shingles differ in about ten of 64 bits, where no choice of
+blocks tells them from others. So its pigeonhole search finds the closest candidates, those within three bits, and a search
+by prefixes, which is exact, completes them; both kinds are verified on the whole sets.
 
 A document is the set of XXH64 hashes (seed 42) of its runs of ``SHINGLE`` words; a shorter text is one shingle. Sets that
 agree in a share t have at least t of the larger one's hashes in common, so they share one of the (1 - t) n + 1 least
 hashes of each (prefix filtering). Equal sets meet first. Then, over the sets that share a prefix hash:
 
-1. each is compared with the least set of the hash, and what agrees gets a label by its connected component;
+1. each is compared with the least set of the hash, and with those that ``simhash.links`` finds; what agrees gets a label by
+   its connected component;
 2. over the sets of one hash whose labels still differ, a forest of the likeliest pairs is compared, and labels grow;
 3. all pairs of one hash whose labels still differ are compared. A large group of near copies has one label by then and
    makes no pairs; a parity bitmap, whose distance never exceeds that of the sets, rules out most others.
@@ -17,7 +22,6 @@ Defined cases: a null text is an empty one; empty texts are equal; classes whose
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +29,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, simhash
 from .components import components
 
-SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
+SHINGLE, SIMILARITY, SEED = 5, 0.8, simhash.SEED
 LEAST_BITS, MOST_BITS = 512, 8192
 _ROWS = 1 << 16
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles; empty for an empty text."""
-    words = common.words_of(text or "")
-    if not words:
-        return np.zeros(0, np.uint64)
-    n = max(1, len(words) - shingle + 1)
-    grams = zip(*[words[i:] for i in range(shingle)], strict=False) if len(words) >= shingle else [words]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, grams), repeat(SEED)), np.uint64, n))
+    return np.unique(simhash.shingle_hashes(text, shingle))
 
 
 def key_of(hashes: np.ndarray) -> int:
@@ -68,17 +67,21 @@ def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
 
 
 def _marked(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, key, n, bits, prefix)"""
+    """(doc_id, key, n, fp, bits, prefix)"""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     longs = pa.list_(pa.int64())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.pieces_of(batches):
-            sets = [shingles(t, shingle) for t in b.column(1).to_pylist()]
-            columns = [pa.array([key_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([s[: prefix_length(len(s), similarity)].view(np.int64) for s in sets], longs)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["doc_id", "key", "n", "bits", "prefix"])
+            sets, marks = [], np.zeros(b.num_rows, np.uint64)
+            for i, t in enumerate(b.column(1).to_pylist()):
+                hashes = simhash.shingle_hashes(t, shingle)
+                marks[i] = simhash.fingerprint_of(hashes)
+                sets.append(np.unique(hashes))
+            columns = [pa.array([key_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(marks.view(np.int64)), pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([s[: prefix_length(len(s), similarity)].view(np.int64) for s in sets], longs)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["doc_id", "key", "n", "fp", "bits", "prefix"])
 
-    return common.map_arrow(docs.select("doc_id", F.col("text").cast("string")), work, f"doc_id {id_type}, key long, n int, bits binary, prefix array<long>")
+    return common.map_arrow(docs.select("doc_id", F.col("text").cast("string")), work, f"doc_id {id_type}, key long, n int, fp long, bits binary, prefix array<long>")
 
 
 def _within(size: object, distance: object, similarity: float) -> object:
@@ -206,16 +209,27 @@ def _apart(rows: DataFrame, links: DataFrame, classes: DataFrame, similarity: fl
     return common.staged(common.map_arrow(left, _unlike(similarity, forest), "a long, b long").distinct(), "unlike")
 
 
+def _close_fingerprints(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of keys: each set with the least one of its fingerprint, and the least ones of the fingerprints that
+    SimHash links."""
+    held = common.staged(classes.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("m")), "fingerprints")
+    same = classes.join(held.where("m > 1"), "fp").where("key != least").select(F.col("key").alias("a"), F.col("least").alias("b"))
+    met = simhash.links(held.select("fp"))
+    met = met.join(held.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(held.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
+    return same.unionByName(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+
+
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for each row of docs; a component is named by its least doc_id."""
     docs = docs.select("doc_id", "text")
     marked = common.staged(_marked(docs, shingle, similarity), "sketches")
-    classes = common.staged(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "sets")
+    classes = common.staged(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "sets")
     linked = classes.where(F.col("rep").isNotNull())
     rows = linked.select("key", F.explode("prefix").alias("h"))
     shared = common.staged(rows.groupBy("h").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most"), "shared")
     rows = common.staged(rows.join(shared, "h"), "prefixes")
     starred = rows.where("key != least").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
+    starred = starred.unionByName(_close_fingerprints(linked)).distinct()
     first = _verified(common.staged(_likely(starred, linked, similarity), "likely"), docs, linked, shingle, similarity)
     forest = _apart(rows, first, linked, similarity, True)
     links = common.staged(first.unionByName(_verified(forest, docs, linked, shingle, similarity)), "links")
