@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import math
 import re
+import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -122,10 +125,16 @@ def changed(text, places, word="OTHER"):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_leaks_equal_brute_force(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+@pytest.fixture(params=["10MB", "-1"])
+def joins(request, spark):
+    """Joins by broadcast where Spark finds a side small, and by shuffle alone."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_leaks_equal_brute_force(spark, joins):
     items = [(0, prose(40, 10)), (1, prose(13, 11)), (2, prose(9, 12)), (3, prose(6, 13)), (4, "a b c"), (5, None), (6, prose(40, 10))]
     a, b, c, d = (items[k][1] for k in range(4))
     texts = [
@@ -153,6 +162,31 @@ def test_leaks_equal_brute_force(spark, monkeypatch, broadcast):
     assert decontaminate.leaks(documents(spark, texts).where("false"), bench).count() == 0
 
 
+def test_leaks_of_repetitive_texts(spark):
+    texts = ["la " * 400, "la ti " * 150, "la " * 30 + prose(5, 3) + " la" * 30, "do re mi " * 60]
+    items = [(0, "la " * 60), (1, "ti la " * 20), (2, "re mi do " * 9 + "x y z " + "re mi do " * 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r[0], r[1]): tuple(r)[2:] for r in decontaminate.leaks(documents(spark, texts), bench).collect()}
+    assert got == brute_leaks(list(enumerate(texts)), items)
+
+
+def test_a_long_repetitive_text_costs_a_check_a_diagonal(spark):
+    """An item of one repeated word and a text of it: 400 by 4,000 words. Hits by place would be 1.6 million slices of words."""
+    bench = spark.createDataFrame([(0, "la " * 400)], "item_id long, text string")
+    began = time.monotonic()
+    rows = decontaminate.leaks(documents(spark, ["la " * 4000]), bench).collect()
+    assert [tuple(r) for r in rows] == [(0, 0, 13, 13, 4000 + 400 - 2 * 13 + 1)] and time.monotonic() - began < 40
+
+
+def test_leaks_of_rows_without_an_id(spark):
+    item = prose(30, 4)
+    bench = spark.createDataFrame([(0, item), (None, item), (2, ""), (3, None), (0, item)], "item_id long, text string")
+    docs = documents(spark, [item, item, "x " + item, "clean " * 20], [None, None, 7, None])
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(None, 0), (7, 0)} | {(None, None), (7, None)}
+    assert sorted((r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()), key=repr) == [None, None, None]
+    assert decontaminate.leaks(docs, bench.where("item_id > 1")).count() == 0
+
+
 # --- SimHash
 
 
@@ -188,10 +222,9 @@ def test_links_equal_brute_force(spark, limit):
     base = [int(x) for x in g.integers(0, 1 << 63, 6)]
     found = {0, (1 << 64) - 1} | {b ^ sum(1 << int(k) for k in g.choice(64, n, replace=False)) for b in base[:3] for n in (0, 1, 2, 3, 4, 5, 6) for _ in range(5)} | set(base)
     fps = sorted(found)
-    order = g.permutation(len(fps))
-    rows = [(f - (1 << 64) if f >> 63 else f, int(r)) for f, r in zip(fps, order, strict=True)]
-    got = {r["node"]: r["root"] for r in components.components(simhash.links(spark.createDataFrame(rows, "fp long, rep long"), limit)).collect()}
-    pairs = [(int(order[i]), int(order[j])) for i in range(len(fps)) for j in range(i) if bin(fps[i] ^ fps[j]).count("1") <= 3]
+    rows = [(f - (1 << 64) if f >> 63 else f) for f in fps]
+    got = {r["node"]: r["root"] for r in components.components(simhash.links(spark.createDataFrame([(r,) for r in rows], "fp long"), limit)).collect()}
+    pairs = [(rows[i], rows[j]) for i in range(len(fps)) for j in range(i) if bin(fps[i] ^ fps[j]).count("1") <= 3]
     assert got == {x: r for x, r in brute_components(pairs).items() if x != r}
 
 
@@ -206,6 +239,18 @@ def test_near_duplicates_keep_one(spark):
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == set(roots.values())
 
 
+def test_ids_of_any_type_and_rows_without_one(spark):
+    near = [t for t in (prose(400, 9) + f" tail{i}" for i in range(40)) if t]
+    fps = [brute_fingerprint(t) for t in near]
+    a, b, c = next((a, b, c) for a, b, c in itertools.permutations(range(40), 3) if all(bin(fps[x] ^ fps[y]).count("1") <= 3 for x, y in ((a, b), (b, c))) and len({fps[a], fps[b], fps[c]}) == 3)
+    texts, ids = [near[a], near[b], near[c], prose(300, 1), prose(300, 1)], ["x1", None, "x3", None, None]
+    docs = spark.createDataFrame(list(zip(ids, texts, [1] * 5, [2] * 5, strict=True)), "doc_id string, text string, fp int, component_id int")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([("x1", "x1"), (None, "x1"), ("x3", "x1"), (None, None), (None, None)], key=repr)
+    assert sorted((r["doc_id"] for r in simhash.dedup_documents(docs).collect()), key=repr) == sorted([None, None, None, "x1"], key=repr)
+    assert simhash.near_duplicates(docs.where("false")).count() == 0 and simhash.dedup_documents(docs.where("false")).count() == 0
+
+
 def test_pipeline_links_all_near_copies(spark):
     import corpus_pipeline
 
@@ -289,8 +334,7 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(brown, "HEAD", 40)  # most words meet their counts in the join
     texts = [*AWKWARD, *[prose(60, 100 + i) for i in range(60)]]
     docs = documents(spark, texts)
-    train = docs.where(common.bucket_of(F.col("doc_id"), 7) != 2)
-    got = {r["doc_id"]: r for r in brown.score(docs, train).collect()}
+    got = {r["doc_id"]: r for r in brown.score(docs, common.bucket_of(F.col("doc_id"), 7) != 2).collect()}
     counts = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in [*words(t), "\n"])
     n, v = sum(counts.values()), len(counts)
     for i, t in enumerate(texts):
@@ -303,10 +347,72 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
 
 def test_scores_without_training_texts(spark):
     docs = documents(spark, ["a b", None])
-    rows = brown.score(docs, docs.where("false")).orderBy("doc_id").collect()
+    rows = brown.score(docs, F.lit(False)).orderBy("doc_id").collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in rows] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
 
 
+@pytest.mark.parametrize("head", [25, brown.HEAD])
+def test_scores_equal_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(brown, "HEAD", head)
+    monkeypatch.setattr(brown, "CORE", 10)
+    monkeypatch.setattr(brown, "UNITS", 10 + brown.GROUPS + 1)
+    texts = [*AWKWARD, "y" * 100 + " " + "x" * 30000, *[prose(60, 100 + i) + f" own{i}" for i in range(60)]]
+    docs = documents(spark, texts)
+    model = brown.Model(docs, common.bucket_of(F.col("doc_id"), 7) != 2)
+    of = {bytes(r["word"]): (r["class"], r["c"]) for r in model.classes.collect()} | {b"\n": (0, int(model.c[0]))}
+    lessons = [[w.encode() for w in words(t)] + [b"\n"] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(brown.word_key(w) for t in lessons for w in t)
+    assert {w: c for w, (_, c) in of.items()} == counts  # every word has a class
+    kept = {w: k for w, (k, _) in of.items()}
+    unseen = lambda w: int(model.of_block[model.suffixes.index(w[-3:]) if w[-3:] in model.suffixes else brown.GROUPS])
+    k_of = lambda w: kept.get(brown.word_key(w), None) if brown.word_key(w) in kept else unseen(brown.word_key(w))
+    pairs, sizes, types = Counter(), Counter(), Counter()
+    for t in lessons:
+        pairs.update(zip([0, *map(k_of, t)], map(k_of, t), strict=False))
+    for w, c in counts.items():
+        sizes[kept[w]] += c
+        types[kept[w]] += 1
+    n = sum(counts.values())
+    before = Counter()
+    for (a, _), c in pairs.items():
+        before[a] += c
+    step = lambda a, b: (pairs[a, b] + brown.BACKOFF * (sizes[b] + 1) / (n + brown.CLASSES)) / (before[a] + brown.BACKOFF)
+    emit = lambda w: (counts[brown.word_key(w)] + 1) / (sizes[k_of(w)] + types[k_of(w)] + 1)
+    for a in range(brown.CLASSES):
+        assert sum(step(a, b) for b in range(brown.CLASSES)) == pytest.approx(1)
+        assert sum((counts[w] + 1) / (sizes[a] + types[a] + 1) for w in counts if kept[w] == a) + 1 / (sizes[a] + types[a] + 1) == pytest.approx(1)
+    got = {r["doc_id"]: r["score"] for r in brown.scored(model).collect()}
+    for i, t in enumerate(texts):
+        tokens = [w.encode() for w in words(t)] + [b"\n"]
+        k = [0, *map(k_of, tokens)]
+        assert got[i] == pytest.approx(sum(math.log10(step(a, b) * emit(w)) for a, b, w in zip(k, k[1:], tokens, strict=False)))
+
+
+def test_each_word_moves_to_its_best_class():
+    g = np.random.default_rng(4)
+    m = g.integers(0, 30, (brown.CLASSES, brown.CLASSES)).astype(float)
+    of = g.integers(1, brown.CLASSES, 12)
+    key = np.unique(g.integers(0, 12 * 2 * brown.CLASSES, 90))
+    word, code, n = key // (2 * brown.CLASSES), key % (2 * brown.CLASSES), g.integers(1, 5, len(key))
+    got = brown.best_classes(m, word, code, n, of)
+    f = lambda x: x * math.log(x) if x > 1 else 0.0
+    for w in range(12):
+        mine = [(int(c), int(x)) for v, c, x in zip(word, code, n, strict=True) if v == w]
+        times = sum(x for c, x in mine if c >= brown.CLASSES)
+        worth = []
+        for b in range(brown.CLASSES):
+            sign = -1 if b == of[w] else 1
+            change = sum(f(max(0, m[(c, b) if c < brown.CLASSES else (b, c - brown.CLASSES)] + sign * x)) - f(m[(c, b) if c < brown.CLASSES else (b, c - brown.CLASSES)]) for c, x in mine)
+            change -= f(max(0, m[b].sum() + sign * times)) - f(m[b].sum()) + f(max(0, m[:, b].sum() + sign * times)) - f(m[:, b].sum())
+            worth.append(sign * change if b else -math.inf)
+        best = int(np.argmax(worth))
+        assert got[w] == (best if worth[best] > worth[of[w]] + 1e-9 else of[w])
+
+
+def test_empty_documents_score_nothing(spark):
+    assert brown.score(documents(spark, []), F.lit(True)).count() == 0
+
+
 def likelihood(table, of):
     m = np.zeros((of.max() + 1,) * 2)
     np.add.at(m, (np.repeat(of, len(of)), np.tile(of, len(of))), table.ravel())
@@ -345,7 +451,7 @@ def test_class_model_beats_its_base(spark):
     kinds = [VOCABULARY[:40], VOCABULARY[40:80]]
     texts = [" ".join(kinds[k % 2][g.integers(40)] for k in range(60)) for _ in range(200)]
     docs = documents(spark, texts)
-    rows = brown.score(docs, docs.where(common.bucket_of(F.col("doc_id"), 7) != 2)).collect()
+    rows = brown.score(docs, common.bucket_of(F.col("doc_id"), 7) != 2).collect()
     held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + len(held) * 60 * 0.2
 
@@ -419,6 +525,12 @@ def test_encode_and_decode_columns(spark):
     assert pieces.encode(docs.where("false")).count() == 0
 
 
+def test_ids_that_the_vocabulary_lacks_are_passed_over(spark, codec):
+    ids = codec.encode("a few words").tolist()
+    df = spark.createDataFrame([([-1, *ids, 10**6, None],), (None,), ([],)], "ids array<int>")
+    assert [r["decoded"] for r in pieces.decode(df).collect()] == ["a few words", None, ""]
+
+
 def brute_allocation(ends, spans, rule):
     count = [0.0] * (len(spans) + 1)
     begin = 0
@@ -446,6 +558,39 @@ def test_allocation_equals_brute_force(lengths, cuts, rule):
     assert got == pytest.approx(brute_allocation(ends.tolist(), spans, rule))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 6), max_size=12), st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), max_size=6), st.sampled_from(token_counts.RULES))
+def test_overlapping_sections_equal_brute_force(lengths, spans, rule):
+    """A byte belongs to the section that starts first of those that hold it, the first listed of several."""
+    ends = np.cumsum(lengths).astype(np.int64)
+    got, _ = token_counts.allocate(ends, np.array([s for s, _ in spans], np.int64), np.array([e for _, e in spans], np.int64), rule)
+    owner = [min((s, k) for k, (s, e) in enumerate(spans) if s <= x < e)[1] if any(s <= x < e for s, e in spans) else -1 for x in range(100)]
+    want, begin = [0.0] * (len(spans) + 1), 0
+    rank = {k: r for r, k in enumerate(sorted(range(len(spans)), key=lambda k: (spans[k][0], k)))}
+    for end in ends.tolist():
+        held = Counter(o for o in owner[begin:end] if o >= 0)
+        if not held:
+            want[-1] += 1
+        elif rule == "share":
+            for k, n in held.items():
+                want[k] += n / sum(held.values())
+        else:
+            by_place = sorted(held, key=rank.get)
+            want[{"largest": min(by_place, key=lambda k: (-held[k], rank[k])), "first": by_place[0], "last": by_place[-1]}[rule]] += 1
+        begin = end
+    assert got == pytest.approx(want)
+
+
+def test_odd_sections_and_clashing_names(spark):
+    rows = [(1, "one two three", [(8, 13), None, (0, 9), (5, None), (9, 2)]), (2, None, [(0, 4)]), (3, "a b", []), (4, "a b", None)]
+    df = spark.createDataFrame([(*r, 7, 8, 9) for r in rows], "doc_id int, text string, sections array<struct<start:int,end:int>>, section int, n_tokens int, n_crossing int")
+    got = token_counts.attribute(df)
+    assert got.columns == ["doc_id", "section", "n_tokens", "n_crossing"]
+    assert {(r["doc_id"], r["section"]): r["n_tokens"] for r in got.collect()} == {(1, 0): 1.0, (1, 1): 0.0, (1, 2): 2.0, (1, 3): 0.0, (1, 4): 0.0, (2, 0): 0.0, (3, -1): 2.0, (4, -1): 2.0}
+    assert token_counts.attribute(token_counts.with_line_sections(df.drop("sections").where("false"))).count() == 0
+    assert token_counts.with_line_sections(df).columns == [*(c for c in df.columns if c != "sections"), "sections"]
+
+
 def test_token_counts_add_up(spark):
     encoder = token_counts.Encoder(token_counts.read_ranks())
     docs = documents(spark, AWKWARD)
@@ -490,8 +635,6 @@ def test_pages_as_rows(spark):
 
 
 def test_pages_after_an_unreadable_one_are_read(spark):
-    import struct
-
     data = bytearray(tiff.write([np.zeros((2, 3), np.uint8), np.ones((1, 4), np.uint8), np.ones((5, 2), np.uint8)]))
     entry = struct.pack("<HHIHH", tiff.BITS, 3, 1, 8, 0)
     at = data.index(entry, data.index(entry) + 1)
@@ -500,6 +643,52 @@ def test_pages_after_an_unreadable_one_are_read(spark):
     assert [(r["page"], r["width"], r["error"] is None) for r in got] == [(0, 3, True), (1, None, False), (2, 2, True)]
 
 
+def patched(data, tag, value, page=0, count=None):
+    """The TIFF with a tag's first value, or its count, replaced."""
+    out, at = bytearray(data), struct.unpack_from("<I", data, 4)[0]
+    for _ in range(page):
+        at = struct.unpack_from("<I", data, at + 2 + 12 * struct.unpack_from("<H", data, at)[0])[0]
+    for i in range(struct.unpack_from("<H", data, at)[0]):
+        entry = at + 2 + 12 * i
+        if struct.unpack_from("<H", data, entry)[0] == tag:
+            if count is None:
+                struct.pack_into("<I", out, entry + 8, value)
+            else:
+                struct.pack_into("<I", out, entry + 4, count)
+    return bytes(out)
+
+
+def test_odd_headers_are_rows(spark):
+    good = tiff.write([np.zeros((20, 30), np.uint8), np.ones((4, 4), np.uint8)], strip_rows=64)
+    tiled = tiff.write([np.ones((20, 30), np.uint8)], tile=(16, 16))
+    odd = [patched(good, tiff.WIDTH, 2**32 - 1), patched(good, tiff.HEIGHT, 2**32 - 1), patched(good, tiff.WIDTH, 0), patched(good, tiff.WIDTH, 0, count=0), patched(good, tiff.STRIP_BYTES, 0, count=0), patched(good, tiff.STRIP_OFFSETS, 10**9), patched(good, tiff.STRIP_BYTES, 2**31)]
+    odd += [patched(good, tiff.BITS, 0, count=0), patched(good, tiff.SAMPLES, 65535), patched(tiled, tiff.TILE_WIDTH, 0, count=0), patched(tiled, tiff.TILE_HEIGHT, 2**32 - 1), patched(tiled, tiff.TILE_BYTES, 0, count=2**31)]
+    both = patched(patched(good, tiff.WIDTH, 2**31), tiff.HEIGHT, 2**31)
+    df = spark.createDataFrame([(i, d, "p", "w", "e") for i, d in enumerate([*odd, both])], "id int, media binary, page string, width string, error string")
+    got = tiff.read_pages(df)
+    assert got.columns == ["id", "page", "width", "height", "samples", "pixels", "error"]
+    rows = got.collect()
+    assert all(r["error"] for r in rows if r["page"] == 0) and {r["id"] for r in rows if r["page"] == 0} == set(range(len(odd) + 1))
+    assert {r["id"] for r in rows if r["page"] == 1 and r["error"] is None} == {0, 1, 2, 3, 4, 5, 6, 7, 8, 12}
+    assert tiff.read_pages(df.where("false")).count() == 0
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 12), st.sampled_from([tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS]), st.booleans())
+def test_mutated_files_never_raise_but_bad_tiff(seed, n, kind, tiles):
+    g = np.random.default_rng(seed)
+    data = bytearray(tiff.write([g.integers(0, 4, (9, 20)).astype(np.uint8) for _ in range(2)], kind, 1 + int(g.integers(2)), 4, (16, 16) if tiles else None, "<>"[int(g.integers(2))]))
+    for at in g.integers(0, len(data), n):
+        data[at] = int(g.integers(256))
+    if seed % 5 == 0:
+        del data[int(g.integers(len(data))) :]
+    try:
+        for found in tiff.pages_or_errors(bytes(data)):
+            assert isinstance(found, tiff.BadTiff) or found[3].shape == (found[1], found[0], found[2])
+    except tiff.BadTiff:
+        pass
+
+
 def test_payloads_come_back(spark):
     docs = documents(spark, AWKWARD)
     for r in tiff.digests(tiff.encoded(docs)).collect():
@@ -529,7 +718,7 @@ def test_main_text_of_a_hosts_pages(spark):
 
 
 def test_template_parts_and_odd_pages(spark):
-    extra = '<aside>side</aside><div id="comments"><p>first!</p></div><form><p>mail</p></form><div class="cookie-notice"><p>We use</p></div><header><p>Top</p></header>'
+    extra = '<aside>side</aside><div class="comments-section">more</div><div id="comments"><p>first!</p></div><form><p>mail</p></form><div class="cookie-notice"><p>We use</p></div><header><p>Top</p></header>'
     body = "<p>Text {0} of the article that is long enough</p><p>Subscribe to our letter today</p><aside>x</aside>"
     rows = [(i, "https://B.example:80/x", page(i, body.format(i), extra)) for i in range(10)]
     rows += [(90, None, None), (91, "nourl", ""), (92, "http://c.example", "<p>Alone &euro; page</p>"), (93, "http://d.example", "plain < text > here & there"), (94, "http://e.example", "<article><p>unclosed <b>x"), (95, "http://b.example/y", "<div><p>Other layout altogether</p></div>"), (96, "http://f.example", "<" * 3000 + "<a href='x")]
@@ -559,24 +748,111 @@ def test_copies_of_an_article_are_not_its_template(spark):
     assert all(got[i] == "\n\n".join(f"Paragraph {k} of the copied article" for k in range(4)) for i in range(12)) and got[20] == "Own text 20 of this page"
 
 
-def test_class_names_do_not_empty_a_page(spark):
+def test_marks_do_not_empty_a_page():
     text = "the text of the article " * 9
-    pages = [f"<body class='single has-sidebar'><p>{text}</p></body>", f"<body><main class='page-with-nav search'><p>{text}</p></main></body>", f"<body><article class='post no-comments'><p>{text}</p></article></body>", f"<body><div id='legal-article'><p>{text}</p></div></body>", f"<body><div class='legal'><p>{text}</p><div class='share'>Share it</div></div></body>"]
-    got = extracted(spark, [(i, f"http://h{i}.example", h) for i, h in enumerate(pages)])
-    assert set(got.values()) == {text.strip()}
+    pages = ["<body class='single has-sidebar'>{}</body>", "<body class='no-sidebar'>{}</body>", "<body class='single comments-open'>{}</body>", "<main class='legal-article'>{}</main>", "<main class='page-with-nav search'>{}</main>", "<article class='post no-comments'>{}</article>", "<div id='legal-article'>{}</div>", "<div class='legal'>{}<div class='share'>Share it</div></div>", "<div title='a hidden gem' data-class='ad'>{}</div>", "<div style='overflow: hidden ;'>{}</div>", "<div class=content>{}<div hidden>no</div><i style='color:red; display : none'>no</i><div class='siteFooter'>no</div><ul class='comments-list'><li>no</ul></div>"]
+    assert {html_template.extract_page(p.format(f"<p>{text}</p>")) for p in pages} == {text.strip()}
+
+
+@pytest.mark.parametrize("copies", [7, 8, 14])
+def test_hosts_of_copies_keep_their_articles(spark, copies):
+    body = "".join(f"<p>Paragraph {k} of the syndicated article</p>" for k in range(4))
+    rows = [(i, f"http://a.example/{i}", page(i, body if i < copies else f"<p>Own text {i} of this page, long enough</p>" * 3)) for i in range(14)]
+    got = extracted(spark, rows)
+    whole = "\n\n".join(f"Paragraph {k} of the syndicated article" for k in range(4))
+    assert all(got[i] == (whole if i < copies else "\n\n".join([f"Own text {i} of this page, long enough"] * 3)) for i in range(14))
+
+
+def vectors_of(pages):
+    """The occurrence vector of each element path and text block over the pages, gathered plainly."""
+    counts = defaultdict(lambda: [0] * len(pages))
+    for i, source in enumerate(pages):
+        walk = html_template.Page(source)
+        for t, n in walk.count.items():
+            counts[t][i] = n
+        for b in walk.blocks:
+            counts[html_template.text_token(b)][i] += 1
+    return counts
+
+
+def generated_host(seed):
+    g = np.random.default_rng(seed)
+    made = []
+    for i in range(12):
+        paragraphs = "".join(f"<p>{prose(int(g.integers(8, 40)), int(g.integers(1 << 30)))}</p>" for _ in range(int(g.integers(1, 6))))
+        extra = "<section class='box'><h2>More</h2><i>x</i></section>" if i % 4 else ""
+        menu = "".join(f"<li><a href='/{k}'>{prose(2, int(g.integers(1 << 30)))}</a></li>" for k in range(int(g.integers(2, 6))))
+        made.append(f"<html><body><div id=top><ul>{menu}</ul></div><div id=content><h1>{prose(5, seed * 100 + i)}</h1>{paragraphs}<p>Read it every day</p>{extra}</div><div id=end><b>All rights {i % 3}</b></div></body></html>")
+    return made
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_classes_are_the_groups_of_equal_vectors(spark, seed):
+    pages = generated_host(seed)
+    df = spark.createDataFrame([(i, f"http://a.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
+    found = [r.asDict() for r in html_template.tokens(rows).collect()]
+    vectors = vectors_of(pages)
+    assert {r["token"] for r in found} == {"", *vectors}
+    groups = defaultdict(set)
+    for r in found:
+        groups[r["vector"], r["n_pages"], r["n_times"]].add(r["token"])
+    plain = defaultdict(set, {(1,) * len(pages): {""}})
+    for t, v in vectors.items():
+        plain[tuple(v)].add(t)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, plain.values()))
+    root = next(r for r in found if not r["token"])
+    well = [r for r in found if r["token"] and r["n_pages"] >= 6]
+    classes = html_template.equivalence_classes((root["vector"], root["n_pages"], root["n_times"]), well)
+    for k, c in enumerate(classes):
+        assert len({tuple(vectors[t]) for t in c["tokens"]}) == 1 and (c["within"] is None or c["within"] < k)
+        assert c["whole"] == (tuple(vectors[c["tokens"][0]]) == (1,) * len(pages))
+    told = html_template.deduce(root, well)
+    assert told["main"].endswith("#content") and told["lists"] == [f"html>body>div#top{x}" for x in ("", ">ul", ">ul>li")] and [t.partition("\x1f")[0][-1] for t in told["words"]] == ["p"]
+    texts = {i: html_template.extract_page(p, told["main"], told["lists"], frozenset(told["words"])) for i, p in enumerate(pages)}
+    assert not any("Read it every day" in t for t in texts.values()) and all(("More" in texts[i]) == bool(i % 4) for i in texts)
+    # with other vectors there is another template: tokens that agree with no other one are data
+    apart = html_template.deduce(root, [{**r, "vector": k} for k, r in enumerate(well)])
+    assert (apart["main"], apart["lists"], apart["words"], json.loads(apart["classes"])) == ("", [], [], [])
+    assert all("Read it every day" in html_template.extract_page(p, apart["main"], apart["lists"], frozenset()) for p in pages)
 
 
 def test_classes_nest_in_a_template(spark):
-    df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + "<p>Some words here {0} {1}</p>".format(i, i * 7) * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
+    df = spark.createDataFrame([(i, f"http://a.example/{i}", page(i, "<h1>h</h1>" + f"<section><h2>A {i}</h2><p>Some words here {i} {i * 7}</p></section>" * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = df.select("page_id", "url", html_template.host_column(F.col("url")).alias("host"), "html")
     (t,) = html_template.templates(rows).collect()
-    import json
-
     classes = json.loads(t["classes"])
-    once = next(c for c in classes if c["once"])
-    paragraphs = next(c for c in classes if "html>body>article>p" in c["tokens"])
-    assert t["main"] == "html>body>article" and {"html", "html>body", "html>body>article"} <= set(once["tokens"])
-    assert classes[paragraphs["within"]] == once
+    whole = next(c for c in classes if c["whole"])
+    sections = next(c for c in classes if "html>body>article>section" in c["tokens"])
+    assert t["main"] == "html>body>article" and {"html", "html>body", "html>body>article"} <= set(whole["tokens"])
+    assert sections["tokens"] == [f"html>body>article>section{x}" for x in ("", ">h2", ">p")] and classes[sections["within"]] == whole
+
+
+def test_empty_pages_and_long_html(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_template.extract(empty).count() == 0
+    rows = [(i, "http://a.example/", page(i, "<p>" + f"word{i} " * 300_000 + "</p>")) for i in range(3)] + [(None, None, "<p>x"), (None, None, "<p>x")]
+    got = spark.createDataFrame([(*r, "h", "m", 5) for r in rows], "page_id long, url string, html string, host string, main string, words int")
+    out = [(r["page_id"], r["n_chars"], r["text"][-5:]) for r in html_template.extract(got).collect()]
+    assert sorted(out, key=repr) == sorted([(i, 300_000 * 6 - 1, f"word{i}") for i in range(3)] + [(None, 1, "x")] * 2, key=repr)
+
+
+def test_slices_are_bounded_in_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (10, 10, 1000, 5, 5, 0, 400, 400, 400)] + [None] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([[1] * 3] * len(texts), pa.list_(pa.int64())), pa.array(range(len(texts)))], names=["t", "l", "i"])
+    got = list(common.pieces_of(iter([batch, batch.slice(3, 4)]), 8, 900))
+    assert [i for b in got for i in b.column(2).to_pylist()] == [*range(len(texts)), 3, 4, 5, 6]
+    assert all(b.num_rows <= 8 and (b.num_rows == 1 or sum(len(t or "") + 24 for t in b.column(0).to_pylist()) <= 900) for b in got)
+    assert list(common.pieces_of(iter([batch.slice(0, 0)]))) == []
+
+
+def test_inputs_of_few_splits_are_spread(spark, tmp_path):
+    documents(spark, AWKWARD).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spread = common.read_texts(spark, str(tmp_path), "documents", "doc_id", "text")
+    assert common.n_splits(spread) == spark.sparkContext.defaultParallelism
+    assert sorted(spread.collect(), key=repr) == sorted(common.read_table(spark, str(tmp_path), "documents").select("doc_id", "text").collect(), key=repr)
 
 
 def test_staged_tables_can_be_dropped(spark):
