@@ -27,7 +27,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8) stays, that of the least doc_id."""
+    """One document of each group of near copies stays, that of the least doc_id: SimHash links and all others of five-word
+    shingles at a Jaccard similarity of 0.8, verified on the whole texts."""
     return near_copies.dedup_documents(docs)
 
 
@@ -54,10 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each one's result written to the shared folder first."""
+    """All stages over documents, each one's result written to the shared folder first. What a stage staged on the way is
+    dropped once its result is written; the last stage reads the result before it lazily, so that one stays."""
     docs = common.read_table(spark, sf_dir, "documents")
+    before = common.staged_tables()
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = common.staged(docs, f"stage{i + 1}")
+            common.drop_staged(spark, (*before, common.staged_tables()[-1]))
     return docs
