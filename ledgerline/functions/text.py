@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from pyspark.sql.types import StringType
 
 from .typing import DECIMAL
 
+#: A control character that no text needs; it marks where matches start.
+_MARK = "\x01"
 _LATIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 _PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 
@@ -79,13 +82,26 @@ def segment(text: Column, start: int, length: int) -> Column:
 
 
 def contains_number(text: Column, *forms: Column) -> Column:
-    """Whether any form of a number stands in the text as a token of its own: no digit or point beside it."""
+    """Whether any form of a number stands in the text as a token of its own: no digit or point beside it, so a number
+    that ends a sentence doesn't count. Null and empty forms are passed over."""
     out = F.lit(False)
     for form in forms:
-        out = out | F.coalesce(F.regexp(text, F.concat(F.lit(r"(?<![\d.])\Q"), form, F.lit(r"\E(?!\d|\.\d)"))), F.lit(False))
+        out = out | F.coalesce(F.regexp(text, F.concat(F.lit(r"(?<![\d.])\Q"), F.nullif(form, F.lit("")), F.lit(r"\E(?![\d.])"))), F.lit(False))
     return out
 
 
+def percent_forms(fraction: Column) -> list[Column]:
+    """A fraction as a percentage in the ways a document may print it: without trailing zeros, and with as many places as the
+    fraction itself is stated with (0.0400 reads 4 or 4.0000)."""
+    stated = fraction.cast("string")
+    percent = stated.try_cast("decimal(38,18)") * F.lit(100)
+    plain = F.regexp_replace(F.regexp_replace(percent.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    places = F.when(stated.rlike("^-?[0-9]*[.][0-9]+$"), F.char_length(F.substring_index(stated, ".", -1))).otherwise(F.lit(0))
+    shown = F.char_length(F.when(plain.contains("."), F.substring_index(plain, ".", -1)).otherwise(F.lit("")))
+    padded = F.concat(plain, F.when(plain.contains("."), F.lit("")).otherwise(F.lit(".")), F.repeat(F.lit("0"), F.greatest(F.lit(0), places - shown)))
+    return [plain, F.when(places > 0, padded).otherwise(plain)]
+
+
 def stated_range(text: Column) -> tuple[Column, Column]:
     """The bounds of "X% to Y%" as fractions, in order of size."""
     pattern = r"(-?\d+(?:\.\d+)?)\s*%\s*(?:to|-|–)\s*(-?\d+(?:\.\d+)?)\s*%"
@@ -117,8 +133,57 @@ def version_in_etag(etag: Column) -> Column:
 
 
 def first_anchor(text: Column, patterns: Sequence[str]) -> Column:
-    """The first group of the first pattern that is found, patterns in order of preference; null if none is."""
-    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
+    """The first group of the first pattern that is found, patterns in order of preference, without regard to case and
+    trimmed; null if none is."""
+    return F.coalesce(*[F.nullif(F.trim(F.regexp_extract(text, f"(?i){p}", 1)), F.lit("")) for p in patterns])
+
+
+def labelled_hits(text: Column, pattern: str) -> Column:
+    """Every match of a labelled pattern in document order, without regard to case: place (from 0), value (the first group,
+    trimmed) and evidence, the line on which the match starts."""
+    blind = f"(?i)(?:{pattern})"
+    parts = F.split(F.regexp_replace(F.translate(text, _MARK, " "), blind, f"{_MARK}$0"), _MARK, -1)  # each but the first opens with a match
+    before = lambda i: F.substring_index(F.array_join(F.slice(parts, 1, i + 1), ""), "\n", -1)
+    return F.transform(
+        F.regexp_extract_all(F.translate(text, _MARK, " "), F.lit(blind), F.lit(1)),
+        lambda v, i: F.struct(i.alias("place"), F.trim(v).alias("value"), F.trim(F.concat(before(i), F.substring_index(F.array_join(F.slice(parts, i + 2, F.size(parts)), ""), "\n", 1))).alias("evidence")),
+    )
+
+
+def first_match_line(text: Column, pattern: str) -> Column:
+    """The line on which a pattern is first found, without regard to case, null if it isn't."""
+    return F.get(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"(?i){pattern}")), F.lit(0))
+
+
+def heads(line: Column, pattern: str, longest: int = 110, offset: int = 10) -> Column:
+    """Whether a line that holds a pattern reads like a heading: it is short, the pattern stands near its start or after
+    numbering, and it doesn't end like prose."""
+    numbering = r"[ \t•·\-–—]*[\d.()a-zA-Z]{0,16}[:.]?[ \t•·\-–—]*"
+    near = line.rlike(f"(?i)^(?:.{{0,{offset}}}|{numbering})(?:{pattern})")
+    return F.coalesce((F.char_length(F.trim(line)) <= longest) & near & ~line.rlike(r"[.;,]\s*$"), F.lit(False))
+
+
+def located_sections(pages: DataFrame, keys: Sequence[str], page: str, text: str, headings: Mapping[str, Sequence[str]], last_pages: int = 3, contents_from: int = 4) -> DataFrame:
+    """Where configured sections stand in documents: keys, section, heading, page_start and page_end; page_start is null for
+    those not found. headings: section -> patterns.
+
+    A section starts on the first page where one of its patterns is a heading, or else where it is mentioned in prose. Pages
+    on which contents_from sections or more are named are tables of contents and start none. A section ends on the page
+    before the next one's start, the last one after last_pages more pages. All sections are found in one aggregate a document."""
+    from pyspark.sql.window import Window
+
+    names = sorted(headings)
+    lines = {k: [first_match_line(F.col(text), p) for p in headings[k]] for k in names}
+    named = {k: F.coalesce(*lines[k]).isNotNull() for k in names}
+    headed = {k: reduce(lambda a, b: a | b, (heads(x, p) for x, p in zip(lines[k], headings[k], strict=True))) for k in names}
+    marked = pages.select(*keys, F.col(page).alias("__page"), *[F.struct(named[k].alias("named"), headed[k].alias("headed"), F.trim(F.coalesce(*lines[k])).alias("line")).alias(f"__{i}") for i, k in enumerate(names)])
+    crowd = reduce(lambda a, b: a + b, (F.col(f"__{i}.named").cast("int") for i in range(len(names))))
+    at = lambda i, kind: F.min(F.when(F.col(f"__{i}.{kind}") & ~F.col("__contents"), F.struct(F.col("__page").alias("page"), F.col(f"__{i}.line").alias("line"))))
+    found = marked.withColumn("__contents", crowd >= contents_from).groupBy(*keys).agg(F.max("__page").alias("__last"), *[F.coalesce(at(i, "headed"), at(i, "named")).alias(f"__{i}") for i in range(len(names))])
+    rows = found.select(*keys, "__last", F.explode(F.array(*[F.struct(F.lit(k).alias("section"), F.col(f"__{i}.line").alias("heading"), F.col(f"__{i}.page").alias("page_start")) for i, k in enumerate(names)])).alias("s")).select(*keys, "__last", "s.*")
+    following = F.lead("page_start").over(Window.partitionBy(*keys).orderBy(F.col("page_start").asc_nulls_last(), "section"))
+    end = F.when(F.col("page_start").isNotNull(), F.greatest(F.col("page_start"), F.coalesce(following - 1, F.least(F.col("page_start") + last_pages, F.col("__last")))))
+    return rows.withColumn("page_end", end).drop("__last")
 
 
 def line_of(text: Column, pattern: str) -> Column:

@@ -36,8 +36,8 @@ def vetted(value: Column, status: Column) -> Column:
     return F.when(~status.isin(*UNTRUSTED), value)
 
 
-def marks(findings: DataFrame, keys: Sequence[str], name: str, *conditions: Column) -> DataFrame:
-    """The sorted distinct rules of the findings that meet all conditions, by key."""
+def marks(findings: DataFrame, keys: Sequence[str], name: str, *conditions: Column, **others: Column) -> DataFrame:
+    """The sorted distinct rules of the findings that meet all conditions, by key, and other aggregates of the same rows."""
     for c in conditions:
         findings = findings.where(c)
-    return findings.groupBy(*keys).agg(F.array_sort(F.collect_set("rule_id")).alias(name))
+    return findings.groupBy(*keys).agg(F.array_sort(F.collect_set("rule_id")).alias(name), *[a.alias(n) for n, a in others.items()])

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import number_in
+from ..functions.text import contains_number, number_in, percent_forms
 from .select import first_row, last_known, newest_row
 from .shape import best_by
 
@@ -106,6 +106,86 @@ def problems_of_provenance(fields: Sequence[str], provenance: Mapping[str, Colum
     return F.array_compact(F.concat(F.array(*bare), strange, F.coalesce(own, F.array().cast("array<string>"))))
 
 
+#: The shape of a plan id: issuer, state, product and plan; a fixed value.
+PLAN_ID = r"^\d{5}(?:OR|PA)\d{7}$"
+
+
+def problems_of_plan_id(plan: str = "plan_id_hios", product: str = "product_id", shape: str = PLAN_ID) -> Column:
+    """A plan id has its shape and lies under its product."""
+    p, q = F.col(plan), F.nullif(F.col(product), F.lit(""))
+    return F.array_compact(F.array(
+        F.when(p.isNull() | ~p.rlike(shape), F.concat(F.coalesce(p, F.lit("null")), F.lit(" is no plan id"))),
+        F.when(q.isNotNull() & ~F.coalesce(p.startswith(q), F.lit(False)), F.concat(p, F.lit(" isn't under product "), q)),
+    ))
+
+
+def problems_of_narrative(number: str = "quantified_impact_pct", evidence: str = "evidence_quote", start: str = "source_page_start", end: str = "source_page_end", confidence: str = "confidence", stated: Sequence[str] = ("driver_category", "driver_label", "narrative")) -> Column:
+    """A cited driver says what it is and quotes its evidence; a stated number stands in the quote, pages run forward from 1, and
+    confidence lies between 0 and 1."""
+    quote, first, last, sure = F.col(evidence), F.col(start), F.col(end), F.col(confidence)
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    return F.array_compact(F.array(
+        *[F.when(blank(c), F.lit(f"{c} is empty")) for c in (*stated, evidence)],
+        F.when((first < 1) | (last < 1), F.lit("pages count from 1")),
+        F.when(last < first, F.lit("the page range ends before it starts")),
+        F.when(F.col(number).isNotNull() & ~contains_number(quote, *percent_forms(F.col(number))), F.lit(f"{number} doesn't stand in the evidence")),
+        F.when((sure < 0) | (sure > 1), F.lit("confidence lies outside 0 to 1")),
+    ))
+
+
+OUTCOME = "status string, error_class string, error_detail string, rows array<string>, duration_ms long"
+
+
+def extracted(documents: DataFrame, keys: Sequence[str], read: Callable[[Mapping], Sequence[Mapping]], content: str = "content", skip: Mapping[str, str] | None = None, role: str = "document_role", problem: str = "problem") -> DataFrame:
+    """One outcome row a document, whatever happens: keys, status, error_class, error_detail, the rows read (JSON) and the time.
+
+    read takes a document as a mapping of its columns and returns rows of plain values. What it raises becomes a failed row of
+    that document; the others go on. Documents that couldn't be resolved (problem) fail without being read, and roles in skip
+    are skipped for the reason given there."""
+    import json
+    import time
+
+    import pandas as pd
+
+    passed_over, names = dict(skip or {}), documents.columns
+    has_problem = problem in names
+
+    def one(doc: dict) -> tuple:
+        if has_problem and doc[problem] is not None:
+            return "failed", "Unresolved", doc[problem], [], 0
+        if doc.get(role) in passed_over:
+            return "skipped", None, passed_over[doc[role]], [], 0
+        began = time.monotonic()
+        try:
+            rows = [json.dumps(r, sort_keys=True, ensure_ascii=False, default=str) for r in read(doc)]
+            return "extracted", None, None, rows, int((time.monotonic() - began) * 1000)
+        except Exception as e:  # noqa: BLE001 - a crash is a row
+            return "failed", f"{type(e).__module__}.{type(e).__qualname__}", str(e), [], int((time.monotonic() - began) * 1000)
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for record in frame.astype(object).where(frame.notna(), None).to_dict("records"):
+                out = pd.DataFrame([one(record)], columns=[f.split()[0] for f in OUTCOME.split(", ")])
+                for i, k in enumerate(keys):
+                    out.insert(i, k, [record[k]])
+                yield out
+
+    fields = "".join(f"`{k}` {documents.schema[k].dataType.simpleString()}, " for k in keys)
+    return documents.mapInPandas(work, fields + OUTCOME)
+
+
+def rows_of(outcomes: DataFrame, keys: Sequence[str], schema: str) -> DataFrame:
+    """The rows that documents gave, typed, beside their keys."""
+    return outcomes.select(*keys, F.explode("rows").alias("__json")).select(*keys, F.from_json("__json", schema).alias("r")).select(*keys, "r.*")
+
+
+def cost_by(calls: DataFrame, section: str = "target_section", failed: Column | None = None, cost: str = "cost_usd", places: int = 4) -> DataFrame:
+    """Calls, failed calls, cost and mean cost by section, costs summed as decimals."""
+    total = F.sum(F.col(cost).cast("decimal(38,18)"))
+    bad = F.col("error").isNotNull() if failed is None else failed
+    return calls.groupBy(section).agg(F.count("*").alias("calls"), F.count_if(bad).alias("failed"), total.alias("cost"), F.round(total / F.count("*"), places).alias("mean_cost"))
+
+
 def split_valid(rows: DataFrame, problems: Column) -> tuple[DataFrame, DataFrame]:
     """The rows without problems, and the others with theirs."""
     judged = rows.withColumn("problems", problems)

@@ -14,13 +14,13 @@ from .select import value_at_first
 FLOOR = "00000000T000000Z"
 
 
-def _ordered(keys: Sequence[str], order: Sequence[str]) -> Window:
+def ordered(keys: Sequence[str], order: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
 
 
 def with_episode(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "episode_seq") -> DataFrame:
     """Numbers the runs of equal adjacent values from 1. A value that returns opens a new episode. Both windows share one sort."""
-    w = _ordered(keys, order)
+    w = ordered(keys, order)
     opens = F.coalesce(F.lag(value).over(w) != F.col(value), F.lit(True)).cast("int")
     return df.withColumn("__opens", opens).withColumn(name, F.sum("__opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__opens")
 
@@ -49,13 +49,13 @@ def moved_if_known(now: Column, before: Column) -> Column:
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str]) -> DataFrame:
-    w = _ordered(keys, [seq])
+    w = ordered(keys, [seq])
     return df.select("*", *[F.lag(c).over(w).alias(f"prior_{c}") for c in columns])
 
 
 def type2(observations: DataFrame, key: str, order: str, at: str, label: str, floor: object = None) -> DataFrame:
     """Versions of a label with half-open windows [valid_from, valid_to); the first one opens at floor, or when first seen."""
-    w = _ordered([key], [order])
+    w = ordered([key], [order])
     opens = observations.withColumn("__prior", F.lag(label).over(w)).where(F.col("__prior").isNull() | (F.col("__prior") != F.col(label))).drop("__prior")
     windowed = opens.withColumn("version_seq", F.row_number().over(w)).withColumn("valid_to", F.lead(at).over(w))
     start = F.col(at) if floor is None else F.when(F.col("version_seq") == 1, F.lit(floor)).otherwise(F.col(at))
@@ -87,18 +87,22 @@ CHANGE_CLASSES = ("failed", "first_sight", "unchanged_by_validator", "unchanged_
 
 def sightings_with_prior(manifest: DataFrame, keys: Sequence[str], order: Sequence[str], ok: Column, columns: Sequence[str]) -> DataFrame:
     """Each sighting with the named columns of the last successful one before it (prior_ok_*), in one window pass."""
-    w = _ordered(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    w = ordered(keys, order).rowsBetween(Window.unboundedPreceding, -1)
     kept = F.last(F.when(ok, F.struct(*columns)), ignorenulls=True).over(w)
     return manifest.withColumn("__prior", kept).select("*", *[F.col(f"__prior.{c}").alias(f"prior_ok_{c}") for c in columns]).drop("__prior")
 
 
-def currency(known_hash: Column, extracted_hash: Column, has_row: Column) -> Column:
-    """Whether what was extracted is what was last seen: unknown without a good sighting, then never_extracted, current or stale."""
+def currency(known_hash: Column, extracted_hash: Column, has_row: Column, last_failed: Column | None = None) -> Column:
+    """Whether what was extracted is what was last seen: unknown without a good sighting, never_extracted without an outcome,
+    current if its bytes are those of the last good sighting, else stale. If the last sighting failed, the same bytes can't be
+    said to be current: unknown. An outcome without a hash is of no known bytes, so stale."""
+    same = F.coalesce(extracted_hash == known_hash, F.lit(False))
+    failed = F.lit(False) if last_failed is None else F.coalesce(last_failed, F.lit(False))
     return (
         F.when(known_hash.isNull(), "unknown")
         .when(~F.coalesce(has_row, F.lit(False)), "never_extracted")
-        .when(extracted_hash.isNull(), "unknown")
-        .when(extracted_hash == known_hash, "current")
+        .when(same & failed, "unknown")
+        .when(same, "current")
         .otherwise("stale")
     )
 
@@ -108,8 +112,9 @@ CURRENCIES = ("current", "stale", "never_extracted", "unknown")
 
 def histogram(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
     """Counts of every category, those without rows as zero."""
-    spark = df.sparkSession
-    return spark.createDataFrame([(c,) for c in categories], f"{column} string").join(F.broadcast(df.groupBy(column).count()), column, "left").select(column, F.coalesce("count", F.lit(0)).alias("n"))
+    counted = df.where(F.col(column).isin(*categories)).groupBy(column).count()  # as many rows as categories at most
+    named = df.sparkSession.createDataFrame([(c,) for c in categories], f"{column} string")
+    return named.join(F.broadcast(counted), column, "left").select(column, F.coalesce("count", F.lit(0)).alias("n"))
 
 
 def transition_reading(validator: Column, fields: Column) -> Column:

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import contains_number
+from ..functions.text import contains_number, percent_forms
 from .select import newest_row
 
 PASS, VIOLATION, INAPPLICABLE, NOT_EVALUATED = "pass", "violation", "inapplicable", "not_evaluated"
 VERDICTS = (PASS, VIOLATION, INAPPLICABLE, NOT_EVALUATED)
+_NAMES = ((PASS, "passed"), (VIOLATION, "violated"), (INAPPLICABLE, "inapplicable"), (NOT_EVALUATED, "not_evaluated"))
 #: What makes a finding the same one from run to run.
 IDENTITY = ("rule_id", "filing_id", "subject_key", "field_name")
 
@@ -130,28 +131,29 @@ def iff(p: Mapping, ctx: Context) -> Column:
 
 
 def evidence_contains_number(p: Mapping, ctx: Context) -> Column:
-    """The stated number stands in the evidence, trimmed or as written, as a token of its own."""
+    """The stated fraction stands in the evidence as a percentage, trimmed or with its own places, as a token of its own."""
     number, text = F.col(p["field"]).cast("string"), F.col(p["evidence_field"])
-    trimmed = F.regexp_replace(F.regexp_replace(number, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    found = contains_number(text, trimmed, number)
+    found = contains_number(text, *percent_forms(F.col(p["field"])))
     out = F.when(number.isNull(), INAPPLICABLE).when(text.isNull() | (text == ""), VIOLATION).otherwise(_passes(found))
     return outcome(out, text, number)
 
 
 def arithmetic_identity(p: Mapping, ctx: Context) -> Column:
-    """The product of the factors is the target within a relative tolerance. Broadcast factors are their group's only value."""
-    shared = set(p.get("broadcast", ()))
+    """The product of the factors is the target within a relative tolerance. A broadcast factor that a row lacks is its
+    group's only value; a row's own value stays. A target of zero is not evaluated, or inapplicable if a parameter says so."""
+    shared = set(p.get("broadcast") or ())
 
     def factor(name: str) -> Column:
-        c = F.col(name)
-        if name in shared:
-            low, high = F.min(c).over(ctx.over()), F.max(c).over(ctx.over())
-            return _number(F.when(low == high, low))
-        return _number(c)
+        c = _number(F.col(name))
+        if name not in shared:
+            return c
+        low, high = F.min(c).over(ctx.over()), F.max(c).over(ctx.over())
+        return F.coalesce(c, F.when(low == high, low))
 
     product, target = reduce(lambda a, b: a * b, map(factor, p["factors"])), _number(F.col(p["target"]))
-    out = F.when(product.isNull() | target.isNull(), NOT_EVALUATED).when(target == 0, INAPPLICABLE)
-    return outcome(out.otherwise(_passes(F.abs(product - target) <= float(p["rel_tolerance"]) * F.abs(target))), target, product)
+    zero = INAPPLICABLE if p.get("inapplicable_when_target_is_zero") else NOT_EVALUATED
+    out = F.when(product.isNull() | target.isNull(), NOT_EVALUATED).when(target == 0, zero)
+    return outcome(out.otherwise(_passes(F.abs(product - target) <= float(p.get("rel_tolerance", 0.005)) * F.abs(target))), target, product)
 
 
 def not_degenerate(p: Mapping, ctx: Context) -> Column:
@@ -168,20 +170,24 @@ def count_equals(p: Mapping, ctx: Context) -> Column:
 
 
 def equals_across_sources(p: Mapping, ctx: Context) -> Column:
-    """The fields that two or more of a group's rows state agree, numbers within a tolerance, texts without regard to case.
-    Judged once a group, on its first row."""
-    w = ctx.over()
-    first = F.row_number().over(w.orderBy(*[F.col(c).asc_nulls_last() for c in ctx.order])) == 1
-    shared, agree = F.lit(0), F.lit(True)
-    for name in p["fields"]:
-        c = F.col(name)
-        text = F.lower(F.trim(c.cast("string")))
-        number = c.cast("string").try_cast("double")
-        several = F.count(c).over(w) > 1
-        near = F.max(number).over(w) - F.min(number).over(w) <= float(p.get("tolerance", 0))
-        same = F.when(F.count(number).over(w) == F.count(c).over(w), near).otherwise(F.min(text).over(w) == F.max(text).over(w))
-        shared, agree = shared + several.cast("int"), agree & (~several | same)
-    return outcome(F.when(~first, INAPPLICABLE).when(shared == 0, NOT_EVALUATED).otherwise(_passes(agree)), shared)
+    """A group's first row agrees with each other row on every field that both state: pairs of numbers within a tolerance,
+    other texts without regard to case. Judged once a group, on its first row; not evaluated if no pair states a field."""
+    order = [F.col(c).asc_nulls_last() for c in ctx.order]
+    ordered = ctx.over().orderBy(*order)
+    place = F.row_number().over(ordered)
+    kinds = {f: t for f, t in zip(p["fields"], p.get("numeric") or [None] * len(p["fields"]), strict=True)}
+    lead = F.first(F.struct(*[F.col(f).alias(f) for f in kinds])).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    compared, differ = F.lit(0), F.lit(0)
+    for name, numeric in kinds.items():
+        mine, theirs = lead[name], F.col(name)
+        a, b = (x.cast("double") if numeric else x.cast("string").try_cast("double") for x in (mine, theirs))
+        near = F.abs(a - b) <= float(p.get("tolerance", 0)) + 1e-12
+        same = near if numeric else F.coalesce(near, F.lower(F.trim(mine.cast("string"))) == F.lower(F.trim(theirs.cast("string"))))
+        both = (place > 1) & mine.isNotNull() & theirs.isNotNull()
+        compared, differ = compared + both.cast("int"), differ + (both & ~same).cast("int")
+    pairs = F.struct(compared.alias("compared"), differ.alias("differ"))
+    n, bad = F.sum(pairs["compared"]).over(ctx.over()), F.sum(pairs["differ"]).over(ctx.over())
+    return outcome(F.when(place > 1, INAPPLICABLE).when(n == 0, NOT_EVALUATED).otherwise(_passes(bad == 0)), n)
 
 
 def equals_manifest_field(p: Mapping, ctx: Context) -> Column:
@@ -200,7 +206,7 @@ CHECKS: dict[str, tuple[Callable[[Mapping, Context], Column] | None, tuple[str,
     "id_segment_matches": (segment_matches, ("field", "segment")),
     "iff": (iff, ("condition", "consequence")),
     "evidence_contains_number": (evidence_contains_number, ("field", "evidence_field")),
-    "arithmetic_identity": (arithmetic_identity, ("factors", "target", "rel_tolerance")),
+    "arithmetic_identity": (arithmetic_identity, ("factors", "target")),
     "not_degenerate": (not_degenerate, ("field", "min_rows")),
     "count_equals": (count_equals, ("field", "count_field")),
     "equals_across_sources": (equals_across_sources, ("fields",)),
@@ -274,10 +280,24 @@ def evaluate(frame: DataFrame, rules: Sequence[Rule], keys: Sequence[str], ctx:
 
 
 def results(evaluated: DataFrame, rules: Sequence[Rule], adopted: DataFrame | None = None, resolved: DataFrame | None = None) -> DataFrame:
-    """One row per configured rule, those that saw no subject with zeros."""
-    spark = evaluated.sparkSession
+    """One row per configured rule, those that saw no subject with zeros. evaluated: what evaluate gives."""
+    return with_totals(evaluated.groupBy("rule_id").agg(F.count("*").alias("evaluated"), *[F.count_if(F.col("verdict") == v).alias(n) for v, n in _NAMES]), rules, adopted, resolved)
+
+
+def tally(frame: DataFrame, rules: Sequence[Rule], ctx: Context = Context()) -> DataFrame:  # noqa: B008
+    """The counts of evaluate's verdicts by rule without its rows: every rule is counted in one aggregate over one row a
+    subject, and the counts are unfolded after it."""
+    live = [r for r in rules if CHECKS[r.check][0] is not None]
+    judged = frame.select(*[verdict_column(r, frame, ctx)["verdict"].alias(f"__v{i}") for i, r in enumerate(live)])
+    sums = judged.agg(*[F.count(f"__v{i}").alias(f"__n{i}") for i in range(len(live))], *[F.count_if(F.col(f"__v{i}") == v).alias(f"__{n}{i}") for i in range(len(live)) for v, n in _NAMES])
+    rows = [F.struct(F.lit(r.id).alias("rule_id"), F.col(f"__n{i}").alias("evaluated"), *[F.col(f"__{n}{i}").alias(n) for _, n in _NAMES]) for i, r in enumerate(live)]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def with_totals(counts: DataFrame, rules: Sequence[Rule], adopted: DataFrame | None = None, resolved: DataFrame | None = None) -> DataFrame:
+    """Counts by rule with every configured rule, and what was adopted and resolved."""
+    spark = counts.sparkSession
     configured = spark.createDataFrame([(r.id, r.check, r.kind, r.grain, r.severity) for r in rules], "rule_id string, check_name string, kind string, grain string, severity string")
-    counts = evaluated.groupBy("rule_id").agg(F.count("*").alias("evaluated"), *[F.count_if(F.col("verdict") == v).alias(n) for v, n in ((PASS, "passed"), (VIOLATION, "violated"), (INAPPLICABLE, "inapplicable"), (NOT_EVALUATED, "not_evaluated"))])
     out = configured.join(counts, "rule_id", "left")
     for name, rows in (("adopted", adopted), ("resolved", resolved)):
         n = F.lit(0).cast("long") if rows is None else None
@@ -302,6 +322,13 @@ def with_provenance(rows: DataFrame, provenance: str = "provenance") -> DataFram
     )
 
 
+def adopted_subject(detail: Column, role: Column, field_name: Column) -> Column:
+    """Whom a miss is about: the plan id that its detail opens with (five digits, two letters, fourteen signs in all, up to
+    the first colon), so that it meets that plan's own findings; else the document's role and the field."""
+    head = F.trim(F.substring_index(F.coalesce(detail, F.lit("")), ":", 1))
+    return F.when(head.rlike(r"^\d{5}\p{L}{2}.{7}$"), head).otherwise(F.concat_ws(".", role, field_name))
+
+
 def adopt(misses: DataFrame, reasons: Mapping[str, str], run_id: str, at: str) -> DataFrame:
     """Field misses found by extraction as findings of the rules their reasons map to."""
     named = misses.sparkSession.createDataFrame(list(reasons.items()), "reason string, rule_id string")

@@ -53,7 +53,10 @@ def numbered_repeats(df: DataFrame, keys: Sequence[str], role: str, order: Seque
     return df.withColumn("__n", n).withColumn(role, F.when(F.col("__n") > 1, F.concat_ws("-", F.col(role), F.col("__n").cast("string"))).otherwise(F.col(role))).drop("__n")
 
 
-def neighbours(cells: DataFrame, row: str, column: str, value: str, label: Column) -> DataFrame:
-    """The value to the right of each cell that is a label: an equi-join of the cells with themselves, one column on."""
-    left = cells.where(label).select(F.col(row), (F.col(column) + 1).alias(column), F.col(value).alias("label"))
-    return left.join(cells.select(row, column, F.col(value).alias("neighbour")), [row, column], "left").select(row, "label", "neighbour")
+def label_neighbours(cells: DataFrame, row: Sequence[str], column: str, value: str, is_label: str) -> DataFrame:
+    """What stands to the right of each cell that is a label: row, column, label and each value of the next column, null if
+    there is none. One window over the row's cells: a column's values are gathered once and met by those of the column before."""
+    each = cells.groupBy(*row, column).agg(F.collect_list(F.when(F.col(is_label), F.col(value))).alias("label"), F.collect_list(value).alias("__values"))
+    w = Window.partitionBy(*row).orderBy(column)
+    beside = F.when(F.lead(column).over(w) == F.col(column) + 1, F.lead("__values").over(w))
+    return each.withColumn("__next", beside).select(*row, column, F.explode("label").alias("label"), "__next").select(*row, column, "label", F.explode_outer("__next").alias("neighbour"))

@@ -223,17 +223,17 @@ def recheck_matrix(t):
     return t.events.groupBy((F.col("user_id") % 10).alias("grp"), "event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 10).alias("n_high"), F.count("props").alias("n_props"))
 
 
-_CURRENCY = """known AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS h FROM orders),
-got AS (SELECT l_orderkey, max(l_linestatus) AS g FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
-cur AS (SELECT o_orderkey, o_custkey, CASE WHEN h IS NULL THEN 'unknown' WHEN l_orderkey IS NULL THEN 'never_extracted' WHEN g IS NULL THEN 'unknown' WHEN g = h THEN 'current' ELSE 'stale' END AS currency
+_CURRENCY = """known AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS h, o_orderkey % 4 = 0 AS failed FROM orders),
+got AS (SELECT l_orderkey, max(CASE WHEN l_orderkey % 7 > 0 THEN l_linestatus END) AS g FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
+cur AS (SELECT o_orderkey, o_custkey, CASE WHEN h IS NULL THEN 'unknown' WHEN l_orderkey IS NULL THEN 'never_extracted' WHEN g IS NULL OR g <> h THEN 'stale' WHEN failed THEN 'unknown' ELSE 'current' END AS currency
         FROM known LEFT JOIN got ON o_orderkey = l_orderkey)"""
 
 
 def _currency(t: Tables) -> DataFrame:
     known = t.orders.select("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("h"))
-    got = t.lineitem.where("l_returnflag <> 'N'").groupBy("l_orderkey").agg(F.max("l_linestatus").alias("g"))
+    got = t.lineitem.where("l_returnflag <> 'N'").groupBy("l_orderkey").agg(F.max(F.when(F.col("l_orderkey") % 7 > 0, F.col("l_linestatus"))).alias("g"))
     joined = known.join(got, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return joined.select("o_orderkey", "o_custkey", history.currency(F.col("h"), F.col("g"), F.col("l_orderkey").isNotNull()).alias("currency"))
+    return joined.select("o_orderkey", "o_custkey", history.currency(F.col("h"), F.col("g"), F.col("l_orderkey").isNotNull(), F.col("o_orderkey") % 4 == 0).alias("currency"))
 
 
 @query(f"WITH {_CURRENCY} SELECT * FROM cur")
@@ -278,8 +278,7 @@ def _findings(t: Tables) -> DataFrame:
 @query(f"""WITH {_FINDINGS}, m AS (SELECT l_orderkey, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS rules, bool_or(rule_id = 'R_TAX') AS has_tax FROM f GROUP BY 1)
 SELECT o_orderkey, o_custkey, rules, coalesce(has_tax, false) AS has_tax FROM orders LEFT JOIN m ON o_orderkey = l_orderkey""")
 def quarantine_marks(t):
-    found = _findings(t)
-    m = conform.marks(found, ["l_orderkey"], "ids").join(found.groupBy("l_orderkey").agg(F.bool_or(F.col("rule_id") == "R_TAX").alias("has_tax")), "l_orderkey")
+    m = conform.marks(_findings(t), ["l_orderkey"], "ids", has_tax=F.bool_or(F.col("rule_id") == "R_TAX"))
     out = t.orders.join(m, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return out.select("o_orderkey", "o_custkey", F.array_join("ids", ",").alias("rules"), F.coalesce("has_tax", F.lit(False)).alias("has_tax"))
 
@@ -300,10 +299,9 @@ def argmax_page(t):
 @query("""SELECT c_mktsegment AS section, count(*) AS calls, count_if(o_orderstatus = 'P')::BIGINT AS failed, sum(CAST(o_totalprice AS DECIMAL(18, 2)))::DOUBLE AS revenue, round(sum(CAST(o_totalprice AS DECIMAL(18, 2))) / count(*), 4)::DOUBLE AS mean_cost
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def cost_by_section(t):
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    total = F.sum(price)
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.groupBy(F.col("c_mktsegment").alias("section")).agg(F.count("*").alias("calls"), F.count_if(F.col("o_orderstatus") == "P").alias("failed"), total.cast("double").alias("revenue"), F.round(total.cast("double") / F.count("*"), 4).alias("mean_cost"))
+    out = extraction.cost_by(joined.withColumnRenamed("c_mktsegment", "section"), "section", F.col("o_orderstatus") == "P", "o_totalprice")
+    return out.select("section", "calls", "failed", F.col("cost").cast("double").alias("revenue"), F.col("mean_cost").cast("double"))
 
 
 @query("SELECT l_orderkey, round(CAST((l_quantity * 3.0 + l_linenumber * 15.0) / 1000000.0 AS DOUBLE), 6) AS cost, l_linenumber, l_partkey, l_suppkey FROM lineitem")
@@ -331,10 +329,17 @@ def coverage_both_ways(t):
     return shape.coverage_both_ways(expected, seen, ["custkey"], "without orders", "unknown customer")
 
 
-@query("""SELECT field, max(CASE WHEN p_partkey = 1 THEN v END) AS "1", max(CASE WHEN p_partkey = 2 THEN v END) AS "2", max(CASE WHEN p_partkey = 3 THEN v END) AS "3"
-FROM (SELECT p_partkey, unnest(['p_name', 'p_brand', 'p_type', 'p_size']) AS field, unnest([p_name, p_brand, p_type, p_size::VARCHAR]) AS v FROM part) GROUP BY field""")
+_REGIONS = range(5)
+
+
+@query(f"""SELECT field, {', '.join(f'max(CASE WHEN r_regionkey = {k} THEN v END) AS "{k}"' for k in _REGIONS)}
+FROM (SELECT r_regionkey, unnest(['r_name', 'n_nations', 'first_nation', 'last_nation']) AS field, unnest([r_name, n_nations::VARCHAR, first_nation, last_nation]) AS v
+FROM (SELECT r_regionkey, r_name, count(n_nationkey) AS n_nations, min(n_name) AS first_nation, max(n_name) AS last_nation FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1, 2)) GROUP BY field""")
 def transpose(t):
-    return shape.transpose(t.part, "p_partkey", ["p_name", "p_brand", "p_type", "p_size"], [1, 2, 3])
+    """Every region a column, every statistic of its nations a row."""
+    nations = t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy("r_regionkey", "r_name")
+    rows = nations.agg(F.count("n_nationkey").alias("n_nations"), F.min("n_name").alias("first_nation"), F.max("n_name").alias("last_nation"))
+    return shape.transpose(rows, "r_regionkey", ["r_name", "n_nations", "first_nation", "last_nation"], list(_REGIONS))
 
 
 @query("SELECT l_orderkey, count(*) AS n, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN min(l_returnflag) END AS only_flag, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_suppkey) END AS only_supplier FROM lineitem GROUP BY 1")
@@ -349,10 +354,8 @@ def repeated_roles(t):
 
 @query("SELECT a.l_orderkey, a.l_linenumber, a.l_suppkey AS label, b.l_suppkey AS neighbour FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_discount > 0.05) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1")
 def label_neighbours(t):
-    cells = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").distinct()
-    labels = t.lineitem.where("l_discount > 0.05").select("l_orderkey", "l_linenumber", "l_suppkey").distinct()
-    right = cells.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_suppkey").alias("neighbour"))
-    return labels.withColumnRenamed("l_suppkey", "label").join(right, ["l_orderkey", "l_linenumber"], "left")
+    cells = t.lineitem.groupBy("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("value")).agg(F.max(F.col("l_discount") > 0.05).alias("is_label"))
+    return shape.label_neighbours(cells, ["l_orderkey"], "l_linenumber", "value", "is_label")
 
 
 # --- typing ------------------------------------------------------------------------------------------------------
@@ -408,9 +411,9 @@ def map_least(t):
 # --- text --------------------------------------------------------------------------------------------------------
 
 
-@query(r"SELECT page_id, nullif(regexp_extract(html, '<title>([^<]+)</title>', 1), '') AS title, nullif(regexp_extract(html, 'track\((\d+)\)', 1), '')::INT AS tracker FROM pages")
+@query(r"SELECT page_id, nullif(trim(regexp_extract(html, '(?i)<TITLE>([^<]+)</title>', 1)), '') AS title, nullif(regexp_extract(html, 'track\((\d+)\)', 1), '')::INT AS tracker FROM pages")
 def anchor_extract(t):
-    return t.pages.select("page_id", T.first_anchor(F.col("html"), ["<title>([^<]+)</title>", "<h1>([^<]+)</h1>"]).alias("title"), T.first_anchor(F.col("html"), [r"track\((\d+)\)"]).cast("int").alias("tracker"))
+    return t.pages.select("page_id", T.first_anchor(F.col("html"), ["<absent>(.)", "<TITLE>([^<]+)</title>", "<h1>([^<]+)</h1>"]).alias("title"), T.first_anchor(F.col("html"), [r"track\((\d+)\)"]).cast("int").alias("tracker"))
 
 
 @query(r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages) SELECT DISTINCT page_id, link FROM l WHERE starts_with(link, '/')""")
@@ -443,9 +446,12 @@ def contents_pages(t):
     return T.lines_table(t.documents, "text", "doc_id").groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(heading).alias("n_headings"), (F.count_if(heading) >= 4).alias("is_contents"))
 
 
-@query(r"SELECT doc_id, regexp_matches(text, '(^|[^0-9.])' || (doc_id % 10)::VARCHAR || '($|[^0-9.]|\.($|[^0-9]))') AS found FROM documents")
+@query(r"SELECT doc_id, regexp_matches(text, '(^|[^0-9.])' || (doc_id % 10)::VARCHAR || '($|[^0-9.])') AS found, regexp_matches('a rise of ' || (doc_id % 5)::VARCHAR || CASE doc_id % 3 WHEN 0 THEN '.' WHEN 1 THEN '%.' ELSE '.0' END, '(^|[^0-9.])' || (doc_id % 7)::VARCHAR || '($|[^0-9.])') AS at_the_end FROM documents")
 def number_in_text(t):
-    return t.documents.select("doc_id", T.contains_number(F.col("text"), (F.col("doc_id") % 10).cast("string")).alias("found"))
+    """Numbers as tokens of their own: neither "4." at the end of a sentence nor "4.0" says 4, "4%." does."""
+    n, k = F.col("doc_id"), F.col("doc_id") % 3
+    end = F.concat(F.lit("a rise of "), (n % 5).cast("string"), F.when(k == 0, ".").when(k == 1, "%.").otherwise(".0"))
+    return t.documents.select("doc_id", T.contains_number(F.col("text"), (n % 10).cast("string")).alias("found"), T.contains_number(end, (n % 7).cast("string")).alias("at_the_end"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '(' || abs(c_acctbal)::DECIMAL(12, 2)::VARCHAR || ')' ELSE '$' || c_acctbal::DECIMAL(12, 2)::VARCHAR END AS shown, round(c_acctbal, 2) AS read_back FROM customer")
@@ -550,17 +556,38 @@ def dq_count(t):
     return _judged(t.orders.join(counted, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("stated", stated), ["o_orderkey"], "count_equals", field="stated", count_field="n")
 
 
-@query(_verdicts(_LK, "CASE WHEN l_tax = 0 THEN 'inapplicable' WHEN s IS NULL THEN 'not_evaluated' WHEN abs(l_quantity * s - l_extendedprice) <= 0.5 * abs(l_extendedprice) THEN 'pass' ELSE 'violation' END",
-       "(SELECT *, CASE WHEN min(l_suppkey) OVER w = max(l_suppkey) OVER w THEN min(l_suppkey) OVER w END AS s FROM lineitem WINDOW w AS (PARTITION BY l_orderkey))").replace("WHEN l_tax = 0 THEN 'inapplicable' WHEN s IS NULL THEN 'not_evaluated'", "WHEN s IS NULL THEN 'not_evaluated' WHEN l_extendedprice = 0 THEN 'inapplicable'"))
+_IDENTITY = """WITH f AS (SELECT *, CASE WHEN l_linenumber % 3 = 1 THEN l_suppkey END AS own, CASE WHEN l_linenumber = 4 THEN 0 ELSE l_extendedprice END AS target FROM lineitem),
+b AS (SELECT *, coalesce(own, CASE WHEN min(own) OVER w = max(own) OVER w THEN min(own) OVER w END) AS s FROM f WINDOW w AS (PARTITION BY l_orderkey))
+SELECT {0}, CASE WHEN s IS NULL THEN 'not_evaluated' WHEN target = 0 THEN '{1}' WHEN abs(l_quantity * s - target) <= 0.5 * abs(target) THEN 'pass' ELSE 'violation' END AS verdict FROM b"""
+
+
+def _identity(t: Tables, **params) -> DataFrame:
+    """Only some lines state their factor: the others take the order's, if it is one value; targets of zero are there too."""
+    rows = t.lineitem.withColumns({"own": F.when(F.col("l_linenumber") % 3 == 1, F.col("l_suppkey")), "target": F.when(F.col("l_linenumber") == 4, F.lit(0.0)).otherwise(F.col("l_extendedprice"))})
+    return _judged(rows, _LINE_KEYS, "arithmetic_identity", _BY_ORDER, factors=["l_quantity", "own"], broadcast=["own"], target="target", rel_tolerance="0.5", **params)
+
+
+@query(_IDENTITY.format(_LK, "not_evaluated"))
 def dq_identity(t):
-    return _judged(t.lineitem, _LINE_KEYS, "arithmetic_identity", _BY_ORDER, factors=["l_quantity", "l_suppkey"], broadcast=["l_suppkey"], target="l_extendedprice", rel_tolerance="0.5")
+    return _identity(t)
+
+
+@query(_IDENTITY.format(_LK, "inapplicable"))
+def dq_identity_zero(t):
+    return _identity(t, inapplicable_when_target_is_zero=True)
 
 
-@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS rn, count(*) OVER (PARTITION BY l_orderkey) AS n,
-max(l_tax) OVER (PARTITION BY l_orderkey) - min(l_tax) OVER (PARTITION BY l_orderkey) <= 0.045 AS near, min(l_linestatus) OVER (PARTITION BY l_orderkey) = max(l_linestatus) OVER (PARTITION BY l_orderkey) AS same FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CASE WHEN rn > 1 THEN 'inapplicable' WHEN n < 2 THEN 'not_evaluated' WHEN near AND same THEN 'pass' ELSE 'violation' END AS verdict FROM r""")
+@query("""WITH r AS (SELECT *, CASE WHEN l_orderkey % 3 > 0 OR l_linenumber % 2 = 0 THEN l_tax END AS rate, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS rn FROM lineitem),
+p AS (SELECT a.l_orderkey, sum(CASE WHEN a.rate IS NOT NULL AND b.rate IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN a.flag IS NOT NULL AND b.flag IS NOT NULL THEN 1 ELSE 0 END) AS compared,
+  bool_or(abs(a.rate - b.rate) > 0.045000000001) AS far, bool_or(lower(trim(a.flag)) <> lower(trim(b.flag))) AS other
+  FROM (SELECT *, CASE WHEN l_orderkey % 5 = 0 THEN l_linestatus END AS flag FROM r WHERE rn = 1) a JOIN (SELECT *, CASE WHEN l_orderkey % 5 = 0 THEN ' ' || lower(l_linestatus) END AS flag FROM r WHERE rn > 1) b USING (l_orderkey) GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CASE WHEN rn > 1 THEN 'inapplicable' WHEN coalesce(compared, 0) = 0 THEN 'not_evaluated' WHEN coalesce(far, false) OR coalesce(other, false) THEN 'violation' ELSE 'pass' END AS verdict FROM r LEFT JOIN p USING (l_orderkey)""")
 def dq_cross_source(t):
-    return _judged(t.lineitem, _LINE_KEYS, "equals_across_sources", _BY_ORDER, fields=["l_tax", "l_linestatus"], tolerance="0.045")
+    """The first line of an order against each other one: two lines may differ by more than the tolerance if the first lies
+    between them, and a rate that the first line lacks compares with nothing."""
+    first = F.col("l_linenumber") % 2 == 0
+    rows = t.lineitem.withColumns({"rate": F.when((F.col("l_orderkey") % 3 > 0) | first, F.col("l_tax")), "flag": F.when(F.col("l_orderkey") % 5 == 0, F.when(first, F.concat(F.lit(" "), F.lower("l_linestatus"))).otherwise(F.col("l_linestatus")))})
+    return _judged(rows, _LINE_KEYS, "equals_across_sources", _BY_ORDER, fields=["rate", "flag"], numeric=[True, False], tolerance="0.045")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'not_evaluated' WHEN p IS NULL THEN 'inapplicable' WHEN abs(o_totalprice - p) <= 50000 THEN 'pass' ELSE 'violation' END AS verdict
@@ -571,10 +598,17 @@ def dq_posted(t):
     return _judged(o, ["o_orderkey"], "equals_manifest_field", field="o_totalprice", posted_field="p", has_posted_field="has_p", tolerance="50000")
 
 
-@query(r"""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'inapplicable' WHEN regexp_matches(text, '(^|[^0-9.])' || (doc_id % 10)::VARCHAR || '($|[^0-9.]|\.($|[^0-9]))') THEN 'pass' ELSE 'violation' END AS verdict FROM documents""")
+@query(r"""WITH q AS (SELECT doc_id, doc_id % 10 AS n, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'a 4% increase' WHEN 2 THEN 'a 1.040 adjustment' WHEN 3 THEN 'rates rise by 4.' WHEN 4 THEN '4.0000 percent, or 3.5000 of it, 2.50 or 2.00' WHEN 5 THEN text ELSE 'between 3.5% and 4%' END AS quote,
+  doc_id % 2 = 0 AS halves FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'inapplicable' WHEN quote = '' THEN 'violation' WHEN halves AND regexp_matches(quote, '(^|[^0-9.])' || n::VARCHAR || '[.]5(000)?($|[^0-9.])') THEN 'pass'
+  WHEN NOT halves AND regexp_matches(quote, '(^|[^0-9.])(' || n::VARCHAR || '|' || n::VARCHAR || '[.]0000)($|[^0-9.])') THEN 'pass' ELSE 'violation' END AS verdict FROM q""")
 def dq_evidence(t):
-    d = t.documents.withColumn("impact", F.when(F.col("doc_id") % 4 != 0, (F.col("doc_id") % 10).cast("string")))
-    return _judged(d, ["doc_id"], "evidence_contains_number", field="impact", evidence_field="text")
+    """Fractions such as 0.0400 and 0.0450 against quotes that print the percentage in several ways."""
+    k, n = F.col("doc_id") % 7, F.col("doc_id")
+    quote = F.when(k == 0, "").when(k == 1, "a 4% increase").when(k == 2, "a 1.040 adjustment").when(k == 3, "rates rise by 4.").when(k == 4, "4.0000 percent, or 3.5000 of it, 2.50 or 2.00").when(k == 5, F.col("text")).otherwise("between 3.5% and 4%")
+    stated = F.concat(F.lit("0.0"), (n % 10).cast("string"), F.when(n % 2 == 0, "50").otherwise("00"))
+    d = t.documents.withColumns({"impact": F.when(n % 4 != 0, stated), "quote": quote})
+    return _judged(d, ["doc_id"], "evidence_contains_number", field="impact", evidence_field="quote")
 
 
 _RULES = [
@@ -595,7 +629,7 @@ SELECT rule_id, count(verdict) AS evaluated, count(*) FILTER (WHERE verdict = 'p
 def dq_results(t):
     rules = quality.load_rules(_RULES)
     frame = t.lineitem.withColumn("state", F.col("l_linestatus"))
-    out = quality.results(quality.evaluate(frame, rules, ["l_orderkey"], _BY_ORDER), rules)
+    out = quality.with_totals(quality.tally(frame, rules, _BY_ORDER), rules)
     return out.select("rule_id", *[F.col(c).cast("long") for c in ("evaluated", "passed", "violated", "inapplicable", "not_evaluated", "adopted")])
 
 
@@ -623,6 +657,15 @@ def dq_adopt(t):
     return quality.adopt(misses, {"click": "R_CLICK", "view": "R_VIEW"}, "20270101T000000Z", "20270101T000000Z").select("event_id", "rule_id", "origin")
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN lpad(user_id::VARCHAR, 5, '0') || 'OR' || lpad((event_id % 10000000)::VARCHAR, 7, '0') ELSE 'page.' || event_type END AS subject_key FROM events""")
+def dq_adopted_subjects(t):
+    """Misses whose detail opens with a plan id, with something like one, or with none."""
+    n = F.col("event_id")
+    plan = F.concat(F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("OR"), F.lpad((n % 10000000).cast("string"), 7, "0"))
+    detail = F.when(n % 3 == 0, F.concat(F.lit(" "), plan, F.lit(": parsed 0.02 falls outside"))).when(n % 3 == 1, F.concat(F.substring(plan, 2, 13), F.lit(": no")))
+    return t.events.select("event_id", quality.adopted_subject(detail, F.lit("page"), F.col("event_type")).alias("subject_key"))
+
+
 @query("SELECT DISTINCT event_type AS reason FROM events WHERE event_type NOT IN ('click', 'view')")
 def dq_unmapped_reasons(t):
     return quality.unmapped_reasons(t.events.select(F.col("event_type").alias("reason")), {"click": "R_CLICK", "view": "R_VIEW"})
@@ -660,10 +703,16 @@ def failure_union(t):
     })
 
 
-@query(f"""WITH {_SCD2}, n AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS nxt FROM scd)
-SELECT o_custkey, 'gap or overlap' AS problem FROM n WHERE nxt IS NOT NULL AND (valid_to IS NULL OR valid_to <> nxt) UNION ALL SELECT o_custkey, 'current versions' FROM scd GROUP BY 1 HAVING count(*) FILTER (WHERE valid_to IS NULL) <> 1""")
+@query(f"""WITH {_SCD2}, broken AS (SELECT o_custkey, valid_from, CASE WHEN o_custkey % 5 = 0 AND valid_to IS NULL THEN TIMESTAMP '2030-01-01' WHEN o_custkey % 3 = 0 AND version_seq = 2 THEN NULL ELSE valid_to END AS valid_to FROM scd WHERE o_custkey % 4 > 0 OR version_seq <> 2),
+n AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS nxt FROM broken)
+SELECT o_custkey, 'gap or overlap' AS problem FROM n WHERE nxt IS NOT NULL AND (valid_to IS NULL OR valid_to <> nxt) UNION ALL SELECT o_custkey, 'current versions' FROM broken GROUP BY 1 HAVING count(*) FILTER (WHERE valid_to IS NULL) <> 1""")
 def scd2_sane(t):
-    return checks.windows_sane(_labels(t), "o_custkey")
+    """Windows some of which were broken: without their second version, with a second current one, or with none."""
+    late = F.to_timestamp(F.lit("2030-01-01"))
+    v = _labels(t).where((F.col("o_custkey") % 4 > 0) | (F.col("version_seq") != 2))
+    end = F.when((F.col("o_custkey") % 5 == 0) & F.col("valid_to").isNull(), late).when((F.col("o_custkey") % 3 == 0) & (F.col("version_seq") == 2), F.lit(None)).otherwise(F.col("valid_to"))
+    broken = v.withColumn("valid_to", end.cast(v.schema["valid_to"].dataType)).withColumn("is_current", F.col("valid_to").isNull())
+    return checks.windows_sane(broken, "o_custkey")
 
 
 @query(f"WITH s AS (SELECT *, {_STATUS} AS status FROM lineitem) SELECT l_orderkey, status FROM s WHERE (status IN ('quarantined', 'cell_error', 'missing')) <> (l_tax < 0.01)")
@@ -672,9 +721,9 @@ def vetted_matches_status(t):
     return checks.vetted_matches_status(rows, "measure", "status", conform.UNTRUSTED).select("l_orderkey", "status")
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 30)")
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000)")
 def never_reported(t):
-    return checks.never_reported(t.events, t.events.where("event_type = 'purchase' and value > 30"), ["user_id"])
+    return checks.never_reported(t.orders, t.orders.where("o_orderstatus = 'F' and o_totalprice > 250000"), ["o_custkey"])
 
 
 @query("SELECT o_orderkey, top FROM orders, (SELECT max(o_orderkey) - 100 AS top FROM orders WHERE o_orderstatus = 'F') WHERE top IS NOT NULL AND o_orderkey > top")

@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.checks import failing
 from ..operators.select import latest_complete
 from .warehouse import Models
 
+#: How many unmapped reasons an error names.
+NAMED = 20
 PROVENANCE = "map<string, struct<method string, source_document_role string, source_locator string>>"
 #: What names a row of each grain among its filing's.
 SUBJECTS = {"filing": "source_document_role", "plan": "plan_id_hios", "justification": "justification_ordinal"}
@@ -32,11 +35,17 @@ class Validation:
     open_before: DataFrame | None
     gate: dict[str, DataFrame]
 
+    def breaches(self) -> dict[str, int]:
+        """The assertions of the gate that don't hold, with the number of rows against each."""
+        return failing(self.gate)
+
+    def findings_code(self) -> int:
+        """1 if an error is open, else 0."""
+        return Q.exit_code(self.quarantine.where("reprocess_status = 'open'"))
+
     def exit_code(self) -> int:
         """3 if the gate is breached, 1 if an error is open, else 0."""
-        if any(not df.isEmpty() for df in self.gate.values()):
-            return 3
-        return Q.exit_code(self.quarantine.where("reprocess_status = 'open'"))
+        return 3 if any(not df.isEmpty() for df in self.gate.values()) else self.findings_code()
 
     def release(self) -> None:
         self.quarantine.unpersist()
@@ -80,9 +89,9 @@ def validate(m: Models, rules: Sequence[Q.Rule], run_id: str, reasons: Mapping[s
     misses = m.misses.join(m.current_runs, ["filing_id", "run_id"], "left_semi")
     if filings is not None:
         misses = misses.where(F.col("filing_id").isin(*filings))
-    unknown = [r["reason"] for r in Q.unmapped_reasons(misses, reasons).collect()]
+    unknown = [r["reason"] for r in Q.unmapped_reasons(misses, reasons).limit(NAMED).collect()]
     if unknown:
-        raise Q.RuleError(f"field misses carry reasons without a rule: {sorted(unknown)}")
+        raise Q.RuleError(f"field misses carry reasons without a rule, {NAMED} of them at most: {sorted(map(str, unknown))}")
     parts, judged = [], []
     for grain, frame in grains(m).items():
         own = [r for r in rules if r.grain == grain and Q.CHECKS[r.check][0] is not None]
@@ -95,10 +104,17 @@ def validate(m: Models, rules: Sequence[Q.Rule], run_id: str, reasons: Mapping[s
         judged.append(out.drop("provenance"))
         parts.append(Q.with_provenance(Q.violations(out.withColumnRenamed("run_id", "extract_run_id"), run_id, run_id)))
     evaluated = reduce(DataFrame.unionByName, judged)
-    severity = F.create_map(*[F.lit(x) for r in rules for x in (r.id, r.severity)])
-    adopted = Q.adopt(misses.select("filing_id", F.col("run_id").alias("extract_run_id"), "field_name", "reason", "detail"), reasons, run_id, run_id).withColumns(
-        {"severity": severity[F.col("rule_id")], "grain": F.lit("filing"), "observed": F.col("detail"), "provenance_absent_reason": F.concat(F.lit("field miss: "), F.col("reason"))}
-    ).drop("reason", "detail") if reasons else None
+    of_rule = {name: F.create_map(*[F.lit(x) for r in rules for x in (r.id, getattr(r, name))])[F.col("rule_id")] for name in ("severity", "kind", "grain")}
+    adopted = Q.adopt(misses.select("filing_id", F.col("run_id").alias("extract_run_id"), "document_role", "model_name", "field_name", "reason", "detail"), reasons, run_id, run_id).withColumns(
+        of_rule
+        | {
+            "state": F.upper(F.substring_index("filing_id", "-", 1)),
+            "subject_key": Q.adopted_subject(F.col("detail"), F.col("document_role"), F.col("field_name")),
+            "source_document_role": F.col("document_role"),
+            "message": F.coalesce(F.nullif("detail", F.lit("")), F.concat(F.concat_ws(".", "model_name", "field_name"), F.lit(": "), F.col("reason"))),
+            "provenance_absent_reason": F.lit("a field that was missed has no value, so nothing tells where it came from"),
+        }
+    ).drop("reason", "detail", "document_role", "model_name") if reasons else None
     found = reduce(lambda a, b: a.unionByName(b, True), [*parts, *([adopted] if adopted is not None else [])])
     before, cleared, store = None, None, found
     prior = prior_corpus_run(m, run_id) if filings is None else None

@@ -178,6 +178,8 @@ class Models:
         key = ["filing_id", "document_role"]
         ok = F.col("error").isNull() & F.col("content_hash").isNotNull()
         seen = H.sightings_with_prior(self.manifest, key, ["retrieved_at", "source_line"], ok, ["content_hash", "source_url", "source_item_key"])
+        before = F.lag(F.struct("carrier_label_raw")).over(H.ordered(key, ["retrieved_at", "source_line"]))  # of any sighting
+        seen = seen.withColumn("relabeled", F.coalesce(before.isNotNull() & ~F.col("carrier_label_raw").eqNullSafe(before["carrier_label_raw"]), F.lit(False)))
         last = newest_row(seen, key, "retrieved_at", "source_line")
         known = F.when(ok, F.col("content_hash")).otherwise(F.col("prior_ok_content_hash"))
         done = newest_row(self.outcomes.withColumn("__live", ~F.coalesce("dry_run", F.lit(False))), key, "__live", "run_id", "source_line").select(*key, F.col("content_hash").alias("extracted_hash"), F.lit(True).alias("has_row"))
@@ -187,12 +189,14 @@ class Models:
             "run_id",
             H.change_class(F.col("error"), F.col("prior_ok_content_hash"), F.coalesce(F.col("http_status") == 304, F.lit(False)), F.coalesce(F.col("unchanged"), F.lit(False)) | (F.col("content_hash") == F.col("prior_ok_content_hash"))).alias("change_class"),
             (F.coalesce(F.col("content_hash") == F.col("prior_ok_content_hash"), F.lit(False)) & (H.moved(F.col("source_url"), F.col("prior_ok_source_url")) | H.moved(F.col("source_item_key"), F.col("prior_ok_source_item_key")))).alias("moved"),
-            H.currency(known, F.col("extracted_hash"), F.col("has_row")).alias("currency"),
+            "relabeled",
+            H.currency(known, F.col("extracted_hash"), F.col("has_row"), ~ok).alias("currency"),
         )
 
     @cached_property
     def stale_filings(self) -> DataFrame:
-        return self.document_currency.where(F.col("currency").isin("stale", "never_extracted")).select("filing_id").distinct()
+        """Filings with a stale document: what to extract again."""
+        return self.document_currency.where(F.col("currency") == "stale").select("filing_id").distinct()
 
     @cached_property
     def company_history(self) -> DataFrame:

@@ -6,7 +6,6 @@ import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,8 @@ LEDGERS = {
     "quarantine": "validated/quarantine.jsonl",
     "dq_results": "validated/dq_results.jsonl",
 }
+#: What the name of a ledger's folder of appended lines ends in.
+MORE = ".d"
 EXTRACTS = {"filing_extracts": "filing.json", "plan_extracts": "plans.json", "justification_extracts": "justifications.json"}
 
 
@@ -70,21 +71,30 @@ def read_json_arrays(spark: SparkSession, root: str, pattern: str, load_id: str
     return _stamped(rows, load_id)
 
 
-def discover(root: str) -> dict[str, list[str]]:
-    """The files there are of each table; folders whose names start with an underscore hold no extracts."""
-    base = Path(root)
-    found = {t: [p] if (base / p).exists() else [] for t, p in LEDGERS.items()}
+def discover(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The files there are of each table, as the root's own file system lists them, local or not; folders whose names start
+    with an underscore hold no extracts. A root that can't be read fails: it isn't an empty tree."""
+    jvm, base = spark.sparkContext._jvm, root.rstrip("/")
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path(base)):
+        raise FileNotFoundError(f"nothing to land: {root} doesn't exist")
+    start = len(fs.makeQualified(path(base)).toUri().getPath().rstrip("/")) + 1
+
+    def named(pattern: str) -> list[str]:
+        return sorted(s.getPath().toUri().getPath()[start:] for s in fs.globStatus(path(f"{base}/{pattern}")) or ())
+
+    found = {t: named(p) + named(f"{p}{MORE}") for t, p in LEDGERS.items()}
     for t, name in EXTRACTS.items():
-        paths = base.glob(f"extracted/*/*/*/{name}")
-        found[t] = sorted(str(p.relative_to(base)) for p in paths if not any(x.startswith("_") for x in p.relative_to(base).parts))
+        found[t] = [p for p in named(f"extracted/*/*/*/{name}") if not any(x.startswith("_") for x in p.split("/"))]
     return found
 
 
 def read_all(spark: SparkSession, root: str, load_id: str = "") -> dict[str, DataFrame]:
     """Every table of the tree, empty where there are no files."""
-    there, out = discover(root), {}
+    there, out = discover(spark, root), {}
     for t, path in LEDGERS.items():
-        out[t] = read_jsonl(spark, root, path, load_id) if there[t] else empty_raw(spark)
+        out[t] = read_jsonl(spark, root, f"{path}{{,{MORE}}}", load_id) if there[t] else empty_raw(spark)
     for t, name in EXTRACTS.items():
         out[t] = read_json_arrays(spark, root, f"extracted/[!_]*/[!_]*/[!_]*/{name}", load_id) if there[t] else empty_raw(spark)
     return out
@@ -127,6 +137,18 @@ class Warehouse:
         context.rename(fresh, current, renames)
         return counts
 
+    def retire(self, keep: int = 1) -> list[str]:
+        """Deletes all versions but the current one and the keep newest others, which readers may still have open; returns their names."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        current = self.current()["version"]
+        versions = sorted(((s.getModificationTime(), s.getPath().getName()) for s in fs.listStatus(path(self.path)) if s.isDirectory() and s.getPath().getName() != current), reverse=True)
+        gone = [name for _, name in versions[keep:]]
+        for name in gone:
+            fs.delete(path(f"{self.path}/{name}"), True)
+        return gone
+
     def current(self) -> dict:
         return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/current.json").collect()))
 
@@ -149,6 +171,11 @@ def new_documents(documents: DataFrame, known: DataFrame, key: str = "path") ->
     return documents.join(known.select(key, "content_hash"), [key, "content_hash"], "left_anti")
 
 
+def append_rows(df: DataFrame, ledger: str) -> None:
+    """Adds rows to a ledger of JSON lines: to the folder beside its file, so nothing that is there is rewritten."""
+    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(ledger + MORE)
+
+
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Adds rows to a ledger of Parquet files; rows are never rewritten."""
     writer = df.write.mode("append")

@@ -5,6 +5,7 @@ All keep bounded state: deduplication and windows by watermark, one small state
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,44 +29,67 @@ def counts_by_window(sightings: DataFrame, at: str, late: str, width: str, *keys
 
 
 EPISODE_SCHEMA = "filing_id string, document_role string, content_version_seq long, content_hash string, first_seen_at string"
-_STATE = "content_hash string, seq long, seen_at string"
+_STATE = "content_hash string, seq long, waiting string"
+#: How stamps are written; a fixed value.
+STAMP = "yyyyMMdd'T'HHmmss'Z'"
 
 
-def episodes(sightings: DataFrame) -> DataFrame:
-    """A row whenever a document's content changes, numbered from 1. Failed sightings (error, or no hash) change nothing, and
-    neither do those older than the last one seen; what is kept per document is its last hash, number and stamp.
+def episodes(sightings: DataFrame, late: str = "1 hour") -> DataFrame:
+    """A row whenever a document's content changes, numbered from 1 in order of time, as the batch form numbers them. Failed
+    sightings (error, or no hash) change nothing.
+
+    Sightings wait until the watermark, late behind the newest stamp, has passed them, and are numbered in order of time then,
+    in whatever order they came. Those that come after the watermark are lost, as late says. Kept per document: its last hash
+    and number, and the sightings of the time that the watermark still leaves open.
 
     sightings: filing_id, document_role, retrieved_at, content_hash, error."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, seq, seen = state.get if state.exists else (None, 0, "")
+        last, seq, waiting = state.get if state.exists else (None, 0, "[]")
+        held = json.loads(waiting)
+        if not state.hasTimedOut:
+            for rows in frames:
+                good = rows[rows["error"].isna() & rows["content_hash"].notna()]
+                held += [[int(ms), at, content] for ms, at, content in zip(good["__ms"], good["retrieved_at"], good["content_hash"], strict=True)]
+        held.sort()
+        passed = state.getCurrentWatermarkMs()
+        ready = [h for h in held if h[0] <= passed]
+        held = held[len(ready) :]
         out = []
-        rows = pd.concat(list(frames)).sort_values("retrieved_at", kind="stable")
-        for at, content, error in zip(rows["retrieved_at"], rows["content_hash"], rows["error"], strict=True):
-            if not pd.isna(error) or pd.isna(content) or at < seen:
-                continue
+        for _, at, content in ready:
             if content != last:
                 last, seq = content, seq + 1
                 out.append((*key, seq, content, at))
-            seen = at
-        if seq:
-            state.update((last, seq, seen))
+        state.update((last, seq, json.dumps(held)))
+        if held:
+            state.setTimeoutTimestamp(max(held[0][0], passed + 1))
         yield pd.DataFrame(out, columns=["filing_id", "document_role", "content_version_seq", "content_hash", "first_seen_at"])
 
-    return sightings.groupBy("filing_id", "document_role").applyInPandasWithState(step, EPISODE_SCHEMA, _STATE, "append", GroupStateTimeout.NoTimeout)
+    timed = sightings.withColumn("__at", F.to_timestamp("retrieved_at", STAMP)).withColumn("__ms", F.unix_millis("__at")).withWatermark("__at", late)
+    return timed.groupBy("filing_id", "document_role").applyInPandasWithState(step, EPISODE_SCHEMA, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+#: Folders that a key's observations are dealt to, so that a batch reads only those of its own keys.
+BUCKETS = 64
 
 
 def upsert_history(spark: SparkSession, path: str, key: str, at: str, label: str):
     """A foreachBatch sink: the Type 2 windows of the keys in a batch are rebuilt from their observations, so that late labels
-    close and open the right windows. Observations are appended; history is written for the keys of the batch, one folder a
-    batch, and ``current_history`` reads the newest of each key."""
+    close and open the right windows. Observations are appended by a hash of their key, and a batch reads the folders of its own
+    keys only; history is written for the keys of the batch, one folder a batch, and ``current_history`` reads the newest of
+    each key."""
     from ..operators.history import type2
 
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(key, at, label).write.mode("overwrite").parquet(f"{path}/observations/batch={batch_id}")
-        seen = spark.read.parquet(f"{path}/observations").where(F.col("batch") <= batch_id)
-        touched = batch.select(key).distinct()
-        daily = seen.join(touched, key, "left_semi").groupBy(key, at).agg(F.min(label).alias(label))
+        rows = batch.select(key, at, label, F.lit(batch_id).alias("batch"), bucket)
+        kept = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch")
+        kept.parquet(f"{path}/observations")
+        touched = batch.select(key, bucket).distinct()
+        folders = [r["bucket"] for r in touched.select("bucket").distinct().collect()]  # BUCKETS at most
+        seen = spark.read.parquet(f"{path}/observations").where(F.col("bucket").isin(*folders) & (F.col("batch") <= batch_id))
+        daily = seen.join(touched.select(key), key, "left_semi").groupBy(key, at).agg(F.min(label).alias(label))
         type2(daily, key, at, at, label).write.mode("overwrite").parquet(f"{path}/history/batch={batch_id}")
 
     return write

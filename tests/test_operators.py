@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as T
-from ledgerline.operators import fingerprint, quality
+from ledgerline.operators import fingerprint, history, quality, shape
 from ledgerline.operators import select as S
 from ledgerline.operators.checks import failing
 from ledgerline.plans import run as R
@@ -244,25 +245,120 @@ def test_locks_and_codes(tmp_path):
     assert R.validation_is_current("E1", "E2") and not R.validation_is_current("E2", None) and R.validation_is_current(None, None)
 
 
-def test_streams_equal_batches(spark, tmp_path):
-    from ledgerline.operators import history
+@pytest.mark.parametrize("order", ["in order", "shuffled", "reversed"])
+def test_streams_equal_batches(spark, tmp_path, order):
+    """Whatever order the files come in: their times are set, so which are read together is too."""
     from ledgerline.streaming import sightings
 
     schema = "filing_id string, document_role string, retrieved_at string, content_hash string, error string"
-    rows = [("f", "u", "T1", "A", None), ("f", "u", "T2", "A", None), ("f", "u", "T3", None, "x"), ("f", "u", "T4", "B", None), ("f", "u", "T5", "A", None), ("g", "u", "T1", "A", None)]
-    for i, r in enumerate(rows):
-        path = tmp_path / "in" / f"{i}.json"
+    stamp = lambda n: f"20270101T00{n:02d}00Z"
+    rows = [("f", "u", stamp(1), "A", None), ("f", "u", stamp(2), "A", None), ("f", "u", stamp(3), None, "x"), ("f", "u", stamp(4), "B", None), ("f", "u", stamp(5), "A", None), ("g", "u", stamp(1), "A", None), ("g", "u", stamp(9), "C", None)]
+    places = {"in order": range(7), "shuffled": [4, 6, 0, 3, 5, 1, 2], "reversed": range(6, -1, -1)}[order]
+    later = [("h", "u", "20270102T000000Z", "Z", None), ("h", "u", "20270103T000000Z", "Y", None)]  # moves the watermark past all others
+    for n, r in enumerate([*(rows[i] for i in places), *later]):
+        path = tmp_path / "in" / f"{n}.json"
         path.parent.mkdir(exist_ok=True)
         path.write_text(json.dumps(dict(zip(("filing_id", "document_role", "retrieved_at", "content_hash", "error"), r, strict=True))) + "\n")
+        os.utime(path, (1_700_000_000 + 60 * n,) * 2)
     stream = sightings.read_ledger(spark, str(tmp_path / "in"), schema, 2)
     q = sightings.episodes(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert q.awaitTermination(180)
+    got = spark.read.parquet(str(tmp_path / "out")).where("filing_id <> 'h'").collect()
     good = spark.createDataFrame(rows, schema).where("error is null")
     want = history.episodes(good, ["filing_id", "document_role"], ["retrieved_at"], "content_hash", seq="content_version_seq").select("filing_id", "document_role", "content_version_seq", "content_hash", "first_seen_at").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
+def test_history_by_batches_equals_all_at_once(spark, tmp_path):
+    from ledgerline.streaming import sightings
+
+    rows = [(k, t, "AB"[(k * t // 3) % 2]) for k in range(20) for t in range(12)]
+    write = sightings.upsert_history(spark, str(tmp_path), "k", "t", "label")
+    for n, part in enumerate((rows[1::3], rows[0::3], rows[2::3])):
+        write(spark.createDataFrame(part, "k int, t int, label string"), n)
+    want = history.type2(spark.createDataFrame(rows, "k int, t int, label string"), "k", "t", "t", "label")
+    assert sorted(sightings.current_history(spark, str(tmp_path), "k").collect()) == sorted(want.collect())
+
+
+def test_evidence_is_a_percentage(spark):
+    cases = [("0.04", "a 4% increase", "pass"), ("0.04", "a 4.0% increase", "violation"), ("0.0400", "a 4.0000% increase", "pass"), ("0.04", "a 1.040 adjustment was made", "violation"), ("0.04", "rates rise by 4.", "violation"), ("0.045", "of 4.5%", "pass"), ("0.0450", "of 4.50%", "violation"), ("0.0450", "of 4.5000%", "pass"), ("-0.02", "fell by -2 percent", "pass"), ("0.04", "0.04", "violation"), ("1.5", "150% more", "pass"), (None, "4%", "inapplicable"), ("0.04", "", "violation"), ("0.04", None, "violation")]
+    df = spark.createDataFrame([(i, n, t) for i, (n, t, _) in enumerate(cases)], "id int, n string, t string")
+    rule = quality.load_rules([{"id": "R", "check": "evidence_contains_number", "params": {"field": "n", "evidence_field": "t"}}])
+    for kind in ("string", "double"):
+        got = {r["id"]: r["verdict"] for r in quality.evaluate(df.withColumn("n", F.col("n").cast(kind)), rule, ["id"]).collect()}
+        assert [got[i] for i, c in enumerate(cases) if kind == "string" or c[0] not in ("0.0400", "0.0450")] == [v for n, _, v in cases if kind == "string" or n not in ("0.0400", "0.0450")]
+
+
+def test_broadcast_fills_only_what_a_row_lacks(spark):
+    rule = lambda **p: quality.load_rules([{"id": "R", "check": "arithmetic_identity", "params": {"factors": ["a", "b"], "broadcast": ["b"], "target": "t", **p}}])
+    rows = [("f", 1, 2.0, 3.0, 6.0), ("f", 2, 2.0, 4.0, 8.0), ("f", 3, 2.0, None, 8.0), ("g", 1, 2.0, 5.0, 10.0), ("g", 2, 3.0, None, 15.0), ("g", 3, 3.0, None, 0.0), ("g", 4, None, None, 0.0), ("g", 5, 3.0, None, None)]
+    df = spark.createDataFrame(rows, "filing_id string, n int, a double, b double, t double")
+    verdicts = lambda r: [x["verdict"] for x in quality.evaluate(df, r, ["filing_id", "n"]).orderBy("filing_id", "n").collect()]
+    assert verdicts(rule()) == ["pass", "pass", "not_evaluated", "pass", "pass", "not_evaluated", "not_evaluated", "not_evaluated"]
+    assert verdicts(rule(inapplicable_when_target_is_zero=True))[5:7] == ["inapplicable", "not_evaluated"]
+
+
+def test_sources_are_compared_with_the_first(spark):
+    groups = {"a": (["1.00", "1.04", "0.96"], "pass"), "b": (["1.00", "1.06"], "violation"), "c": ([None, "1", "9"], "not_evaluated"), "d": (["1.00"], "not_evaluated"), "e": (["X y", " x Y "], "pass"), "f": (["X", "Y", "X"], "violation"), "g": (["1", None, "7"], "violation"), "h": (["1.0", "1"], "pass"), "i": (["1", "x"], "violation")}
+    df = spark.createDataFrame([(g, n, v) for g, (vs, _) in groups.items() for n, v in enumerate(vs)], "filing_id string, source_line int, v string")
+    rule = quality.load_rules([{"id": "R", "check": "equals_across_sources", "params": {"fields": ["v"], "tolerance": "0.05"}}])
+    got = {(r["filing_id"], r["source_line"]): r["verdict"] for r in quality.evaluate(df, rule, ["filing_id", "source_line"]).collect()}
+    assert {g: got[g, 0] for g in groups} == {g: v for g, (_, v) in groups.items()} and {v for k, v in got.items() if k[1]} == {"inapplicable"}
+
+
+def test_counts_in_one_aggregate_equal_those_of_the_rows(spark):
+    rules = quality.load_rules([{"id": "A", "check": "range", "params": {"field": "v", "min": 1, "max": 5}}, {"id": "B", "check": "present", "scope": {"state": ["X"]}, "params": {"field": "v"}}, {"id": "C", "check": "not_degenerate", "params": {"field": "v", "min_rows": 3}}, {"id": "D", "check": "adopted_only"}])
+    df = spark.createDataFrame([("f", i, "XY"[i % 2], None if i % 5 == 0 else float(i % 7)) for i in range(40)], "filing_id string, source_line int, state string, v double")
+    assert sorted(quality.with_totals(quality.tally(df, rules), rules).collect()) == sorted(quality.results(quality.evaluate(df, rules, ["source_line"]), rules).collect())
+    assert quality.with_totals(quality.tally(df.where("false"), rules), rules).where("evaluated > 0").isEmpty()
+
+
+def test_currency_of_failed_sightings(spark):
+    cases = [(None, "a", True, False, "unknown"), ("a", None, False, False, "never_extracted"), ("a", "a", True, False, "current"), ("a", "b", True, False, "stale"), ("a", None, True, False, "stale"), ("a", "a", True, True, "unknown"), ("a", "b", True, True, "stale"), ("a", "a", True, None, "current")]
+    df = spark.createDataFrame([c[:4] for c in cases], "known string, got string, there boolean, failed boolean")
+    assert [r[0] for r in df.select(history.currency(F.col("known"), F.col("got"), F.col("there"), F.col("failed"))).collect()] == [c[4] for c in cases]
+
+
+def test_who_a_miss_is_about(spark):
+    cases = [("75729PA0012632: parsed 0.02 falls outside", "75729PA0012632"), (" 75729PA0012632 : x", "75729PA0012632"), ("7572PA0012632: x", "urrt.rate"), ("75729PA00126321: x", "urrt.rate"), (None, "urrt.rate"), ("no plan", "urrt.rate")]
+    df = spark.createDataFrame([(d,) for d, _ in cases], "d string")
+    assert [r[0] for r in df.select(quality.adopted_subject(F.col("d"), F.lit("urrt"), F.lit("rate"))).collect()] == [x for _, x in cases]
+
+
+def test_anchors_are_blind_to_case_and_in_order(spark):
+    text = "Intro\nTotal RATE:  5.1 % and rate: 6\nother\n  Rate: 7  "
+    (r,) = spark.createDataFrame([(text,)], "t string").select(T.labelled_hits(F.col("t"), r"rate:\s*([\d.]+)").alias("hits"), T.first_anchor(F.col("t"), ["absent (x)", "total rate:(.*?)%"]).alias("first"), T.labelled_hits(F.col("t"), "absent (.)").alias("none")).collect()
+    assert [tuple(h) for h in r["hits"]] == [(0, "5.1", "Total RATE:  5.1 % and rate: 6"), (1, "6", "Total RATE:  5.1 % and rate: 6"), (2, "7", "Rate: 7")] and r["first"] == "5.1" and r["none"] == []
+
+
+def test_sections_prefer_headings_to_prose(spark):
+    pages = {
+        "d": ["Contents\nMorbidity\nTrend\nBenefits\nRisk", "We mention TREND in prose,", "4.1 Morbidity\ntext", "Trend\nmore", "benefits are discussed at length here, in prose.", "x", "y", "z", "w"],
+        "e": ["nothing of it"],
+        "f": ["Morbidity and more", "as the risk of it grows."],
+    }
+    df = spark.createDataFrame([(d, i, t) for d, ts in pages.items() for i, t in enumerate(ts)], "doc string, page int, text string")
+    got = T.located_sections(df, ["doc"], "page", "text", {"morbidity": ["morbidity"], "trend": ["trend", "tendency"], "benefit": ["benefits?"], "risk": ["risk"]}).collect()
+    rows = {(r["doc"], r["section"]): (r["page_start"], r["page_end"], r["heading"]) for r in got}
+    assert {k: v for k, v in rows.items() if v[0] is not None} == {
+        ("d", "morbidity"): (2, 2, "4.1 Morbidity"), ("d", "trend"): (3, 3, "Trend"), ("d", "benefit"): (4, 7, "benefits are discussed at length here, in prose."),
+        ("f", "morbidity"): (0, 0, "Morbidity and more"), ("f", "risk"): (1, 1, "as the risk of it grows."),
+    }
+    assert len(rows) == 12
+
+
+def test_canonical_numbers_and_lists(spark):
+    df = spark.createDataFrame([(1, 1e25, [" a\tb ", None, "ﬁ"], [1.50, 2.0]), (2, 1.5e-25, [], None), (3, 12.5, None, [0.0])], "id int, x double, t array<string>, n array<double>")
+    got = {r["id"]: (r["x"], r["t"], r["n"]) for r in df.select("id", *[fingerprint.canonical(df, c).alias(c) for c in ("x", "t", "n")]).collect()}
+    assert got == {1: ('"10000000000000000000000000"', '["a b",null,"fi"]', '["1.5","2"]'), 2: ('"0.00000000000000000000000015"', "[]", "null"), 3: ('"12.5"', "null", '["0"]')}
+
+
+def test_neighbours_of_labels(spark):
+    cells = spark.createDataFrame([("r", 1, "Rate", True), ("r", 2, "5", False), ("r", 4, "Name", True), ("r", 5, "x", False), ("r", 5, "y", False), ("r", 9, "End", True), ("s", 1, "Rate", True)], "row string, c int, v string, is_label boolean")
+    got = {tuple(r) for r in shape.label_neighbours(cells, ["row"], "c", "v", "is_label").collect()}
+    assert got == {("r", 1, "Rate", "5"), ("r", 4, "Name", "x"), ("r", 4, "Name", "y"), ("r", 9, "End", None), ("s", 1, "Rate", None)}
+
+
 def test_provenance_invariants(spark):
     from ledgerline.operators import extraction
 
