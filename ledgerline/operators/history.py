@@ -62,10 +62,21 @@ def type2(observations: DataFrame, key: str, order: str, at: str, label: str, fl
     return windowed.select(key, label, "version_seq", start.alias("valid_from"), "valid_to", F.col(at).alias("first_observed_at"), F.col("valid_to").isNull().alias("is_current"))
 
 
-def point_in_time(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Sequence[str], version_key: str | None = None) -> DataFrame:
+def point_in_time(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: Sequence[str], version_key: str | None = None, sort: bool = False) -> DataFrame:
     """Facts with the columns of the version valid at their time; windows are disjoint, so rows don't multiply.
 
-    An equi-join on the entity with the window as a residual condition: hash or sort-merge, never nested loops."""
+    An equi-join on the entity with the window as a residual condition: hash or sort-merge, never nested loops, and Spark splits
+    an entity that holds a large share of the facts. Each fact meets all versions of its entity, so this is for entities of few
+    versions, as Type 2 dimensions have. With sort, for entities of many versions, facts and versions are sorted together by
+    entity and time and each fact takes the last version before it: one shuffle and one sort, in which an entity is one task's."""
+    if sort:
+        both = F.struct(*[F.col(c).alias(c) for c in facts.columns])
+        fact = facts.select(F.col(key).alias("__key"), F.col(at).alias("__at"), F.lit(1).alias("__kind"), both.alias("__fact"))
+        version = versions.select(F.col(version_key or key).alias("__key"), F.col("valid_from").alias("__at"), F.lit(0).alias("__kind"), F.struct(F.col("valid_to").alias("__to"), *[F.col(c).alias(c) for c in columns]).alias("__version"))
+        w = Window.partitionBy("__key").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        met = fact.unionByName(version, True).withColumn("__version", F.last("__version", ignorenulls=True).over(w)).where("__kind = 1")
+        held = F.col("__key").isNotNull() & F.col("__at").isNotNull() & (F.col("__version.__to").isNull() | (F.col("__at") < F.col("__version.__to")))
+        return met.select("__fact.*", *[F.when(held, F.col(f"__version.{c}")).alias(c) for c in columns])
     v = versions.select(F.col(version_key or key).alias("__key"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"), *columns)
     on = (F.col(key) == F.col("__key")) & (F.col(at) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(at) < F.col("__to")))
     return facts.join(v, on, "left").drop("__key", "__from", "__to")
@@ -137,6 +148,16 @@ def drift_pairs(runs: DataFrame, keys: Sequence[str], run: str, dry: str, column
     return pairs.withColumn("pair_kind", kind).drop("dry_a", "dry_b")
 
 
+def drift_steps(runs: DataFrame, keys: Sequence[str], run: str, dry: str, columns: Sequence[str]) -> DataFrame:
+    """Each run with the one before it over the same bytes, in the columns of drift_pairs: n copies make n - 1 rows, where their
+    pairs are of the order of n squared. Steps between two dry runs are left out."""
+    w = ordered(list(keys), [run])
+    before = F.lag(F.struct(F.col(run).alias("run"), F.coalesce(F.col(dry), F.lit(False)).alias("dry"), *columns)).over(w)
+    rows = runs.withColumn("__a", before).where(F.col("__a").isNotNull() & ~(F.col("__a.dry") & F.coalesce(F.col(dry), F.lit(False))))
+    kind = F.when(F.col("__a.dry") | F.coalesce(F.col(dry), F.lit(False)), "live-dry").otherwise("live-live")
+    return rows.select(*keys, F.col("__a.run").alias("run_a"), F.col(run).alias("run_b"), kind.alias("pair_kind"), *[x for c in columns for x in (F.col(f"__a.{c}").alias(f"{c}_a"), F.col(c).alias(f"{c}_b"))])
+
+
 def drift_reading(hash_a: Column, hash_b: Column, version_a: Column, version_b: Column) -> Column:
     return (
         F.when(moved(version_a, version_b), "version boundary")

@@ -114,9 +114,13 @@ _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity"
 @query(f"""WITH {_SCD2} SELECT {_LINE}, o.o_custkey, s.label, s.version_seq FROM lineitem JOIN orders o ON l_orderkey = o_orderkey
 LEFT JOIN scd s ON s.o_custkey = o.o_custkey AND l_shipdate >= s.valid_from AND (s.valid_to IS NULL OR l_shipdate < s.valid_to)""")
 def pit_join(t):
+    return _dated(t, False)
+
+
+def _dated(t: Tables, sort: bool) -> DataFrame:
     facts = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*_LINE.split(", "), "o_custkey")
     versions = _labels(t).withColumn("version_seq", F.col("version_seq").cast("long"))
-    return history.point_in_time(facts, versions, "o_custkey", "l_shipdate", ["label", "version_seq"])
+    return history.point_in_time(facts, versions, "o_custkey", "l_shipdate", ["label", "version_seq"], sort=sort)
 
 
 _STATUS = """CASE WHEN l_discount >= 0.09 THEN 'quarantined' WHEN l_quantity = 13 THEN 'cell_error' WHEN l_tax IS NULL THEN 'missing' WHEN l_returnflag = 'R' AND l_tax = 0 THEN 'structural_zero'
@@ -258,6 +262,23 @@ def drift_pairs(t):
     return pairs.select("h", "run_a", "run_b", "pair_kind", reading.alias("reading"))
 
 
+@query("""WITH r AS (SELECT md5(text) AS h, doc_id AS run, lang, source, doc_id % 3 = 0 AS dry FROM documents), s AS (SELECT h, run AS run_b, lag(run) OVER w AS run_a, lang, lag(lang) OVER w AS la, source, lag(source) OVER w AS sa, dry, lag(dry) OVER w AS da FROM r WINDOW w AS (PARTITION BY h ORDER BY run))
+SELECT h, run_a, run_b, CASE WHEN da OR dry THEN 'live-dry' ELSE 'live-live' END AS pair_kind, CASE WHEN la IS DISTINCT FROM lang THEN 'version boundary' WHEN sa = source THEN 'no drift' ELSE 'extractor drift' END AS reading
+FROM s WHERE run_a IS NOT NULL AND NOT (da AND dry)""")
+def drift_steps(t):
+    runs = t.documents.select(F.md5("text").alias("h"), F.col("doc_id").alias("run"), "lang", "source", (F.col("doc_id") % 3 == 0).alias("dry"))
+    steps = history.drift_steps(runs, ["h"], "run", "dry", ["lang", "source"])
+    reading = history.drift_reading(F.col("source_a"), F.col("source_b"), F.col("lang_a"), F.col("lang_b"))
+    return steps.select("h", "run_a", "run_b", "pair_kind", reading.alias("reading"))
+
+
+@query(f"""WITH {_SCD2} SELECT {_LINE}, o.o_custkey, s.label, s.version_seq FROM lineitem JOIN orders o ON l_orderkey = o_orderkey
+LEFT JOIN scd s ON s.o_custkey = o.o_custkey AND l_shipdate >= s.valid_from AND (s.valid_to IS NULL OR l_shipdate < s.valid_to)""")
+def pit_join_sorted(t):
+    """The same rows as pit_join by one sort of facts and versions."""
+    return _dated(t, True)
+
+
 @query("""SELECT d.doc_id, 'sha256:' || sha256('[{"text":"' || replace(replace(replace(replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '\\', '\\\\'), '"', '\\"'), chr(8), '\\b'), chr(12), '\\f') || '"}]') AS normalized_field_hash FROM documents d""")
 def normalized_hash(t):
     d = t.documents.select("doc_id", "text")
