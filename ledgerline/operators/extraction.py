@@ -115,7 +115,7 @@ def problems_of_plan_id(plan: str = "plan_id_hios", product: str = "product_id",
     p, q = F.col(plan), F.nullif(F.col(product), F.lit(""))
     return F.array_compact(F.array(
         F.when(p.isNull() | ~p.rlike(shape), F.concat(F.coalesce(p, F.lit("null")), F.lit(" is no plan id"))),
-        F.when(q.isNotNull() & ~F.coalesce(p.startswith(q), F.lit(False)), F.concat(p, F.lit(" isn't under product "), q)),
+        F.when(q.isNotNull() & ~F.coalesce(p.startswith(q), F.lit(False)), F.concat(F.coalesce(p, F.lit("null")), F.lit(" isn't under product "), q)),
     ))
 
 

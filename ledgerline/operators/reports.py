@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 COUNTS = ("evaluated", "passed", "violated", "inapplicable", "not_evaluated", "adopted", "resolved")
 
@@ -20,6 +21,11 @@ def ordered(df: DataFrame, *keys: str) -> DataFrame:
     return df.orderBy(*[F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_last() for k in keys])
 
 
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows of a report with their position from 1. A report has few rows, so one task numbers them."""
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+
+
 def lines(results: Sequence, width: int = 42) -> list[str]:
     """The rows of by_findings as a table of text."""
     head = f"{'rule':{width}s} {'severity':8s} " + " ".join(f"{c:>13s}" for c in COUNTS)

@@ -296,8 +296,17 @@ class Models:
             *kept,
         )
 
+    MARTS = ("fct_plan_rate", "dim_filing", "dim_plan", "dim_company", "dim_justification")
+
     def marts(self) -> dict[str, DataFrame]:
-        return {n: getattr(self, n) for n in ("fct_plan_rate", "dim_filing", "dim_plan", "dim_company", "dim_justification")}
+        return {n: getattr(self, n) for n in self.MARTS}
+
+    def register(self, prefix: str = "") -> list[str]:
+        """Staging, history and conformance as temporary views, which cost nothing until they are read; marts are written."""
+        names = [n for n, p in vars(type(self)).items() if isinstance(p, cached_property) and n not in self.MARTS]
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(prefix + n)
+        return names
 
     # assertions
 

@@ -322,17 +322,49 @@ def test_commands_load_and_validate(spark, tmp_path, monkeypatch, capsys):
     status = {r["plan_id_hios"][-1]: r["rate_change_status"] for r in m.fct_plan_rate.collect()}
     assert status == {"1": "carrier_range_validated", "2": "quarantined", "3": "quarantined"}
     assert {(r["grain"], r["subject_key"], r["source_document_role"]) for r in m.quarantine.where("rule_id = 'ADOPTED'").collect()} == {("plan", "12345OR0010003", "urrt")}
-    assert cli.validate(spark, rules, str(root), filing="or-1") == 1 and cli.validate(spark, rules, str(root), filing="pa-9") == 1
+    assert cli.validate(spark, rules, str(root), filing="pa-9") == 1
     assert cli.validate(spark, {"rules": []}, str(root)) == 1 and cli.validate(spark, rules, str(tmp_path / "absent")) == 1
     assert cli.validate(spark, rules | {"adopted_reasons": {}}, str(root)) == 3
     asked = []
     assert cli.validate(spark, rules, str(root), "raw", extract=lambda f: asked.append(f) or 3) == 3 and asked == [None]
     assert cli.validate(spark, rules | {"sources": {"plan": ["ghost"]}}, str(root)) == 1
     monkeypatch.setattr(cli, "session", lambda: spark)
-    for _ in range(3):
-        assert cli.main(["load", "--data-root", str(root), "--warehouse", f"file://{tmp_path}/wh", "--keep", "1"]) == 0
+    for _ in range(2):
+        assert cli.main(["load", "--data-root", str(root), "--warehouse", f"file://{tmp_path}/wh", "--keep", "0"]) == 0
     store = landing.Warehouse(spark, f"file://{tmp_path}/wh")
-    assert store.read("fct_plan_rate").count() == 3 and len([p for p in (tmp_path / "wh").iterdir() if p.is_dir()]) == 2
+    assert store.read("fct_plan_rate").count() == 3 and len([p for p in (tmp_path / "wh").iterdir() if p.is_dir()]) == 1
     (root / landing.LEDGERS["ingest_manifest"]).write_text("not json\n")
     assert cli.main(["load", "--data-root", str(root), "--warehouse", f"file://{tmp_path}/wh"]) == 1 and store.read("fct_plan_rate").count() == 3
     assert cli.main(["load", "--data-root", str(tmp_path / "none"), "--warehouse", f"file://{tmp_path}/wh"]) == 1
+
+
+def test_discovery_is_whole_or_refused(spark, tmp_path):
+    from ledgerline.sources import discovery
+
+    page = '<a href="/docs/Acme-Rate-Summary.pdf">x</a><a href="/other/y">y</a><a href="/docs/beta.pdf?v=2">z</a><a href="/docs/Acme-Rate-Summary.pdf">x</a>'
+    pages = spark.createDataFrame([(page,), (None,)], "html string")
+    assert [(r["slug"], r["place"]) for r in discovery.linked(pages, "html", "/docs/", "-rate-summary$", 2).orderBy("place").collect()] == [("acme", 0), ("beta", 1)]
+    with pytest.raises(discovery.Unexpected, match="3 documents"):
+        discovery.linked(pages, "html", "/docs/", "-rate-summary$", 3)
+    items = spark.createDataFrame([("Acme", '<p><A class="x" href="/a.pdf"><b>Rate&nbsp;Request</b></A> <a href="http://x/b.pdf">rate request</a><a href="/c">Letter</a></p>'), ("Beta", None)], "carrier string, links string")
+    got = discovery.listed(items, "carrier", "links", {"rate request": "rate_request"}, "http://base", 2).orderBy("place").collect()
+    assert [(r["document_role"], r["url"]) for r in got] == [("rate_request", "http://base/a.pdf"), ("rate_request-2", "http://x/b.pdf"), ("other", "http://base/c")]
+    with pytest.raises(discovery.Unexpected):
+        discovery.listed(items, "carrier", "links", {}, "", 4)
+    path = str(tmp_path / "store")
+    docs = lambda *rows: spark.createDataFrame([(h, h.encode() if h else None) for h in rows], "content_hash string, content binary")
+    assert sorted(r[0] for r in discovery.store(docs("a", "b", "a", None), path, "R1").collect()) == ["a", "b"]
+    assert [r[0] for r in discovery.store(docs("a", "c"), path, "R2").collect()] == ["c"] and discovery.store(docs("a"), path, "R3").count() == 0
+    import shutil
+
+    shutil.rmtree(tmp_path / "store" / "run_id=R1")  # lost bytes are stored again
+    assert [r[0] for r in discovery.store(docs("a", "c"), path, "R4").collect()] == ["a"]
+
+
+def test_models_are_views(spark):
+    from ledgerline.plans.warehouse import Models
+
+    m = Models({t: landing.from_rows(spark, [], f"{t}.jsonl") for t in (*landing.LEDGERS, *landing.EXTRACTS)})
+    names = m.register("v_")
+    assert {"manifest", "document_versions", "conformed"} <= set(names) and not set(names) & set(m.MARTS)
+    assert spark.sql("select count(*) from v_document_versions").first()[0] == 0
