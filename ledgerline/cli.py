@@ -58,9 +58,9 @@ def load(spark: SparkSession, data_root: str, warehouse: str, seed: str | None =
     load_id = run_stamp()
     try:
         raw = landing.read_all(spark, data_root, load_id)
-        marts = Models(raw, landing.read_seed(spark, seed, SEED) if seed else None).marts()
+        federal = landing.read_seed(spark, seed, SEED) if seed else None
         store = landing.Warehouse(spark, warehouse)
-        counts = store.publish({f"raw_{t}": df for t, df in raw.items()} | marts)
+        counts = store.publish({f"raw_{t}": df for t, df in raw.items()}, lambda stored: Models({t: stored[f"raw_{t}"] for t in raw}, federal).marts())
         store.retire(keep)
     except (OSError, PySparkException) as e:
         print(f"load failed, the last version stays: {str(e).splitlines()[0]}", file=sys.stderr)
@@ -108,8 +108,8 @@ def validate(spark: SparkSession, rules: object, data_root: str, reprocess: str
     if current.isEmpty():
         print(f"nothing extracted under {data_root}", file=sys.stderr)
         return FAILED
-    taken = {r["run_id"] for r in m.results.select("run_id").distinct().collect()}
-    run_id = run_stamp(taken=taken)
+    taken = m.results.where(F.col("run_id") >= run_stamp()).select("run_id").distinct()  # stamps from now on, if any
+    run_id = run_stamp(taken={r["run_id"] for r in taken.collect()})
     try:
         found = V.validate(m, config.rules, run_id, config.reasons, None if filing is None else [filing])
     except RuleError as e:

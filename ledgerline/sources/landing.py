@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,11 +119,22 @@ class Warehouse:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
-    def publish(self, tables: Mapping[str, DataFrame]) -> dict[str, int]:
-        version = uuid.uuid4().hex
-        for name, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{self.path}/{version}/{name}")
-        counts = {name: self.spark.read.parquet(f"{self.path}/{version}/{name}").count() for name in tables}
+    def publish(self, tables: Mapping[str, DataFrame], then: Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]] | None = None, threads: int = 8) -> dict[str, int]:
+        """Writes the tables and, of the same version, those that then makes of the written ones; several at a time, as tables
+        don't wait for each other. The pointer moves last."""
+        version, counts = uuid.uuid4().hex, {}
+
+        def write(name: str, df: DataFrame) -> tuple[str, DataFrame, int]:
+            path = f"{self.path}/{version}/{name}"
+            df.write.mode("errorifexists").parquet(path)
+            stored = self.spark.read.schema(df.schema).parquet(path)
+            return name, stored, stored.count()
+
+        with ThreadPoolExecutor(threads) as pool:
+            done = list(pool.map(lambda x: write(*x), tables.items()))
+            if then is not None:
+                done += pool.map(lambda x: write(*x), then({name: df for name, df, _ in done}).items())
+        counts = {name: n for name, _, n in done}
         jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
