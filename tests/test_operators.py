@@ -407,3 +407,20 @@ def test_pages_of_contents_open_no_section(spark):
     df = spark.createDataFrame(lines, "doc string, page int, line_no int, line string")
     got = extraction.section_windows(df, ["doc"], T.is_heading(F.col("line")), "page", 4).orderBy("start_page").collect()
     assert [(r["heading"], r["start_page"], r["end_page"]) for r in got] == [("Part one", 3, 7), ("Part two", 9, 13)]
+
+
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [("episodes", 1), ("scd2_history", 2), ("dq_cross_source", 1), ("dq_degenerate", 1), ("normalized_hash", 1), ("label_neighbours", 2), ("dq_results", 1), ("drift_steps", 1), ("pit_join_sorted", 5), ("located_sections", 1), ("quarantine_marks", 3)],
+)
+def test_shuffles_are_few(spark, name, most):
+    """Shuffles by key in the plan, whatever Spark broadcasts."""
+    import __spark_entry__
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") <= most, plan
