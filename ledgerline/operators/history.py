@@ -129,14 +129,11 @@ def histogram(df: DataFrame, column: str, categories: Sequence[str]) -> DataFram
 
 
 def transition_reading(validator: Column, fields: Column) -> Column:
-    """What a new content version says, from whether its validator and its fields moved; unknown fields stay apart from unmoved ones."""
-    return (
-        F.when(validator & fields, "substantive amendment")
-        .when(validator & (fields == F.lit(False)), "cosmetic republish")
-        .when(validator & fields.isNull(), "republish, substance unknown")
-        .when(~validator & fields, "validator blind, substantive")
-        .when(~validator & (fields == F.lit(False)), "validator blind, cosmetic")
-        .otherwise("validator blind, substance unknown")
+    """What moved with a new content version, as two codes: its validator (moved or same) and its fields (moved, same, or unknown)."""
+    return F.concat(
+        F.when(validator, "validator_moved").otherwise("validator_same"),
+        F.lit("/"),
+        F.when(fields, "fields_moved").when(~fields, "fields_same").otherwise("fields_unknown"),
     )
 
 
@@ -159,10 +156,11 @@ def drift_steps(runs: DataFrame, keys: Sequence[str], run: str, dry: str, column
 
 
 def drift_reading(hash_a: Column, hash_b: Column, version_a: Column, version_b: Column) -> Column:
+    """How the field hashes of two runs over the same bytes compare; hashes of different versions don't."""
     return (
-        F.when(moved(version_a, version_b), "version boundary")
-        .when(hash_a.isNull() & hash_b.isNull(), "undefined on both sides")
-        .when(hash_a.isNull() | hash_b.isNull(), "undefined on one side")
-        .when(hash_a == hash_b, "no drift")
-        .otherwise("extractor drift")
+        F.when(moved(version_a, version_b), "hash_versions_differ")
+        .when(hash_a.isNull() & hash_b.isNull(), "no_hash")
+        .when(hash_a.isNull() | hash_b.isNull(), "one_hash")
+        .when(hash_a == hash_b, "equal_hashes")
+        .otherwise("unequal_hashes")
     )

@@ -83,8 +83,8 @@ def change_signals(t):
 
 @query(f"""WITH {_EPISODES}, l AS (SELECT *, lag(event_type) OVER w AS pt, lag(value) OVER w AS pv FROM e WINDOW w AS (PARTITION BY user_id ORDER BY episode_seq)),
 m AS (SELECT user_id, event_type <> pt AS validator, CASE WHEN value < 5 OR pv < 5 THEN NULL ELSE value > pv END AS fields FROM l WHERE episode_seq > 1)
-SELECT CASE WHEN validator AND fields THEN 'substantive amendment' WHEN validator AND fields = false THEN 'cosmetic republish' WHEN validator AND fields IS NULL THEN 'republish, substance unknown'
-            WHEN NOT validator AND fields THEN 'validator blind, substantive' WHEN NOT validator AND fields = false THEN 'validator blind, cosmetic' ELSE 'validator blind, substance unknown' END AS reading, count(*) AS n FROM m GROUP BY 1""")
+SELECT CASE WHEN validator AND fields THEN 'validator_moved/fields_moved' WHEN validator AND fields = false THEN 'validator_moved/fields_same' WHEN validator AND fields IS NULL THEN 'validator_moved/fields_unknown'
+            WHEN NOT validator AND fields THEN 'validator_same/fields_moved' WHEN NOT validator AND fields = false THEN 'validator_same/fields_same' ELSE 'validator_same/fields_unknown' END AS reading, count(*) AS n FROM m GROUP BY 1""")
 def transition_readings(t):
     e = history.with_previous(_episodes(t), ["user_id"], "episode_seq", ["event_type", "value"]).where("episode_seq > 1")
     known = F.when(~((F.col("value") < 5) | (F.col("prior_value") < 5)), F.col("value") > F.col("prior_value"))
@@ -253,7 +253,7 @@ def stale_lift(t):
 
 @query("""WITH r AS (SELECT md5(text) AS h, doc_id AS run, lang, source, doc_id % 3 = 0 AS dry FROM documents)
 SELECT a.h, a.run AS run_a, b.run AS run_b, CASE WHEN a.dry OR b.dry THEN 'live-dry' ELSE 'live-live' END AS pair_kind,
-       CASE WHEN a.lang IS DISTINCT FROM b.lang THEN 'version boundary' WHEN a.source = b.source THEN 'no drift' ELSE 'extractor drift' END AS reading
+       CASE WHEN a.lang IS DISTINCT FROM b.lang THEN 'hash_versions_differ' WHEN a.source = b.source THEN 'equal_hashes' ELSE 'unequal_hashes' END AS reading
 FROM r a JOIN r b ON a.h = b.h AND a.run < b.run WHERE NOT (a.dry AND b.dry)""")
 def drift_pairs(t):
     runs = t.documents.select(F.md5("text").alias("h"), F.col("doc_id").alias("run"), "lang", "source", (F.col("doc_id") % 3 == 0).alias("dry"))
@@ -263,7 +263,7 @@ def drift_pairs(t):
 
 
 @query("""WITH r AS (SELECT md5(text) AS h, doc_id AS run, lang, source, doc_id % 3 = 0 AS dry FROM documents), s AS (SELECT h, run AS run_b, lag(run) OVER w AS run_a, lang, lag(lang) OVER w AS la, source, lag(source) OVER w AS sa, dry, lag(dry) OVER w AS da FROM r WINDOW w AS (PARTITION BY h ORDER BY run))
-SELECT h, run_a, run_b, CASE WHEN da OR dry THEN 'live-dry' ELSE 'live-live' END AS pair_kind, CASE WHEN la IS DISTINCT FROM lang THEN 'version boundary' WHEN sa = source THEN 'no drift' ELSE 'extractor drift' END AS reading
+SELECT h, run_a, run_b, CASE WHEN da OR dry THEN 'live-dry' ELSE 'live-live' END AS pair_kind, CASE WHEN la IS DISTINCT FROM lang THEN 'hash_versions_differ' WHEN sa = source THEN 'equal_hashes' ELSE 'unequal_hashes' END AS reading
 FROM s WHERE run_a IS NOT NULL AND NOT (da AND dry)""")
 def drift_steps(t):
     runs = t.documents.select(F.md5("text").alias("h"), F.col("doc_id").alias("run"), "lang", "source", (F.col("doc_id") % 3 == 0).alias("dry"))

@@ -234,7 +234,7 @@ def test_amended_tree_end_to_end(spark, tree, tmp_path):
     assert {r["run_id"] for r in m.quarantine_current.collect()} == {v1}
     assert failing(m.checks({"serff": ["or-1", "pa-1"], "federal": ["pa-1"]})) == {}
     assert {(r["filing_id"], r["document_role"]): r["currency"] for r in m.document_currency.collect()} == {("or-1", "urrt"): "current", ("or-1", "letter"): "never_extracted", ("pa-1", "urrt"): "current"}
-    assert m.extractor_drift.select("pair_kind", "reading").collect() == [("live-dry", "extractor drift")]
+    assert m.extractor_drift.select("pair_kind", "reading").collect() == [("live-dry", "unequal_hashes")]
     w = landing.Warehouse(spark, str(tmp_path / "warehouse"))
     first = w.publish(m.marts())
     assert first == w.publish(m.marts()) and first["fct_plan_rate"] == 5 and w.read("fct_plan_rate").count() == 5
@@ -291,7 +291,7 @@ def test_a_validation_run(spark, tree):
 
     root, (_, a, b, v1) = tree
     raw = landing.read_all(spark, str(root))
-    raw["field_misses"] = landing.from_rows(spark, [{"run_id": b, "filing_id": "or-1", "field_name": "loss_ratio", "reason": "unparseable"}])
+    raw["field_misses"] = landing.from_rows(spark, [{"run_id": b, "filing_id": "or-1", "document_role": "urrt", "field_name": "loss_ratio", "reason": "unparseable"}])
     m = Models(raw)
     rules = quality.load_rules(
         [
@@ -304,7 +304,7 @@ def test_a_validation_run(spark, tree):
     run = "20260901T000000Z"
     v = V.validate(m, rules, run, {"unparseable": "MISS"})
     rows = {(r["rule_id"], r["filing_id"], r["subject_key"], r["reprocess_status"]) for r in v.quarantine.collect()}
-    assert rows == {("RULE", "or-1", "P2", "open"), ("RULE", "or-1", "P3", "open"), ("RULE", "pa-1", "P1", "open"), ("RULE", "pa-1", "P2", "open"), ("MISS", "or-1", None, "open")}
+    assert rows == {("RULE", "or-1", "P2", "open"), ("RULE", "or-1", "P3", "open"), ("RULE", "pa-1", "P1", "open"), ("RULE", "pa-1", "P2", "open"), ("MISS", "or-1", "urrt.loss_ratio", "open")}
     results = {r["rule_id"]: r for r in v.results.collect()}
     assert [results["RULE"][c] for c in ("evaluated", "passed", "violated")] == [5, 1, 4] and results["COUNT"]["not_evaluated"] == 2 and results["MISS"]["adopted"] == 1
     assert failing(v.gate) == {} and v.exit_code() == 1
