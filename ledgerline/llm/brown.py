@@ -100,15 +100,24 @@ class _Blocks(dict):
         return np.fromiter((self[w[-SUFFIX:]] for w in words), np.int64, len(words))
 
 
-def sequences(docs: DataFrame, learns: object, head: list[bytes]) -> DataFrame:
-    """(uid, doc_id, learns, codes, rare): a code of a token (four bytes) is its word's place in head or, beyond, in rare,
-    the distinct keys of the document's other words."""
+def packed(codes: list[int]) -> bytes:
+    """Codes of four bytes, all lowest bytes first: the highest ones are mostly zeros, which compress to nothing."""
+    return np.array(codes, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def sequences(docs: DataFrame, learns: object, head: list[bytes], suffixes: list[bytes]) -> DataFrame:
+    """(uid, doc_id, learns, codes, blocks, rare): a code of a token is its word's place in head or, beyond, in rare, the distinct
+    keys of the document's other words; blocks has the block of each of these, a byte each."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(head)
+    sent = spark.sparkContext.broadcast((head, _Blocks(suffixes)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = sent.value
+        words, block_of = sent.value
         known = dict(zip(words, range(len(words)), strict=True))
         size, uid = len(words), TaskContext.get().partitionId() << 40
 
@@ -117,42 +126,42 @@ def sequences(docs: DataFrame, learns: object, head: list[bytes]) -> DataFrame:
             return known[key] if key in known else own.setdefault(key, size + len(own))
 
         for b in common.pieces_of(batches):
-            codes, rare = [], []
+            codes, blocks, rare = [], [], []
             for text in b.column(2).to_pylist():
                 split = common.words_of(text)
                 own: dict[bytes, int] = {}
                 at = [known[w] if w in known else other(w, own) for w in split]
                 at.append(0)
-                codes.append(np.array(at, "<u4").tobytes())
+                codes.append(packed(at))
                 rare.append(list(own))
+                blocks.append(block_of.of(rare[-1]).astype(np.uint8).tobytes())
             uids = pa.array(range(uid, uid + b.num_rows), pa.int64())
             uid += b.num_rows
-            yield pa.RecordBatch.from_arrays([uids, b.column(0), b.column(1), pa.array(codes, pa.binary()), pa.array(rare, pa.list_(pa.binary()))], names=["uid", "doc_id", "learns", "codes", "rare"])
+            yield pa.RecordBatch.from_arrays([uids, b.column(0), b.column(1), pa.array(codes, pa.binary()), pa.array(blocks, pa.binary()), pa.array(rare, pa.list_(pa.binary()))], names=["uid", "doc_id", "learns", "codes", "blocks", "rare"])
 
     texts = docs.select("doc_id", learns.alias("learns"), common.text_of(F.col("text")).alias("text"))
-    return common.map_arrow(texts, work, f"uid long, doc_id {id_type}, learns boolean, codes binary, rare array<binary>")
+    return common.map_arrow(texts, work, f"uid long, doc_id {id_type}, learns boolean, codes binary, blocks binary, rare array<binary>")
 
 
-def _coded(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """The codes and other words of each row; the columns are codes and rare."""
-    for codes, rare in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-        yield np.frombuffer(codes, "<u4"), rare
+def _coded(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The codes of each row and the blocks of its other words; the columns are codes and blocks."""
+    for codes, blocks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        yield unpacked(codes), np.frombuffer(blocks, np.uint8)
 
 
 def unit_bigrams(coded: DataFrame, head: list[bytes], suffixes: list[bytes]) -> np.ndarray:
-    """How often unit j follows unit i, over all texts; ends precede first words. coded: codes, rare."""
+    """How often unit j follows unit i, over all texts; ends precede first words. coded: codes, blocks."""
     spark = coded.sparkSession
-    size = UNITS
-    blocks = _Blocks(suffixes)
-    units = np.concatenate([np.arange(min(CORE, len(head))), CORE + blocks.of(head[CORE:])])
+    size, core = UNITS, CORE
+    units = np.concatenate([np.arange(min(core, len(head))), core + _Blocks(suffixes).of(head[core:])])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         held, n = [], 0
         for b in common.pieces_of(batches):
-            for codes, rare in _coded(b):
+            for codes, blocks in _coded(b):
                 u = np.zeros(len(codes) + 1, np.int64)
-                u[1:] = np.concatenate([units, CORE + blocks.of(rare)])[codes] if rare else units[codes]
+                u[1:] = np.concatenate([units, core + blocks.astype(np.int64)])[codes] if len(blocks) else units[codes]
                 held.append(u[:-1] * size + u[1:])
                 n += len(codes)
                 if n > 1_000_000:
@@ -173,7 +182,7 @@ def unit_bigrams(coded: DataFrame, head: list[bytes], suffixes: list[bytes]) ->
                 sums.setdefault(u, np.zeros(size, np.int64))[np.frombuffer(blob[: 2 * m], "<u2")] += np.frombuffer(blob[2 * m :], "<u8").astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["unit", "counts"])
 
-    parts = common.map_arrow(coded, count, "unit long, counts binary")
+    parts = common.map_arrow(coded.select("codes", "blocks"), count, "unit long, counts binary")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = np.zeros((size, size), np.int64)
     for r in common.map_arrow(parts.repartition(width, "unit"), add, "unit long, counts binary").collect():  # UNITS rows at most
@@ -181,14 +190,14 @@ def unit_bigrams(coded: DataFrame, head: list[bytes], suffixes: list[bytes]) ->
     return table
 
 
-def neighbour_counts(coded: DataFrame, head: list[bytes], of_head: np.ndarray, suffixes: list[bytes], of_block: np.ndarray) -> DataFrame:
+def neighbour_counts(coded: DataFrame, head: list[bytes], of_head: np.ndarray, of_block: np.ndarray) -> DataFrame:
     """(word, codes, counts), several rows a word: how often class c comes before it (code c) and after it (CLASSES + c).
     Null counts are ones."""
-    sent = coded.sparkSession.sparkContext.broadcast((head, of_head.astype(np.uint8), _Blocks(suffixes), of_block.astype(np.uint8)))
+    sent = coded.sparkSession.sparkContext.broadcast((head, of_head.astype(np.uint8), of_block.astype(np.uint8)))
     sides = 2 * CLASSES
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, of, blocks, block_class = sent.value
+        words, of, block_class = sent.value
         size = len(words)
         total = np.zeros(size * sides, np.int32)
         held, n = [], 0
@@ -204,8 +213,8 @@ def neighbour_counts(coded: DataFrame, head: list[bytes], of_head: np.ndarray, s
             return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (keys, codes, counts)], names=["word", "codes", "counts"])
 
         for b in common.pieces_of(batches):
-            for codes, rare in _coded(b):
-                c = np.concatenate([of, block_class[blocks.of(rare)]])[codes] if rare else of[codes]
+            for (codes, blocks), rare in zip(_coded(b), b.column(2).to_pylist(), strict=True):
+                c = np.concatenate([of, block_class[blocks]])[codes] if rare else of[codes]
                 around = np.zeros(len(codes) + 2, np.int64)
                 around[1:-1] = c
                 before, after = around[:-2], around[2:] + CLASSES
@@ -235,7 +244,7 @@ def neighbour_counts(coded: DataFrame, head: list[bytes], of_head: np.ndarray, s
             rows = [(words[w], (at := np.flatnonzero(table[w])).astype(np.uint8).tobytes(), table[w][at].astype("<u4").tobytes()) for w in there[s : s + 8192].tolist()]
             yield batch(*map(list, zip(*rows, strict=True)))
 
-    return common.map_arrow(coded, work, "word binary, codes binary, counts binary")
+    return common.map_arrow(coded.select("codes", "blocks", "rare"), work, "word binary, codes binary, counts binary")
 
 
 def best_classes(m: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -374,15 +383,15 @@ class Model:
         ends = counts.groupBy(F.expr(f"substring(word, greatest(1, octet_length(word) - {SUFFIX - 1}), {SUFFIX})").alias("suffix"))
         ends = ends.agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "suffix").limit(GROUPS).collect()
         self.suffixes = [bytes(r["suffix"]) for r in ends]
-        self.coded = common.staged(sequences(docs, learns, self.head), "coded")
-        lessons = self.coded.where("learns").select("codes", "rare")
+        self.coded = common.staged(sequences(docs, learns, self.head, self.suffixes), "coded")
+        lessons = self.coded.where("learns")
         table = unit_bigrams(lessons, self.head, self.suffixes)
         of = exchange(table)
         self.of_block = of[CORE:]
         of_head = np.concatenate([of[: min(CORE, len(self.head))], self.of_block[_Blocks(self.suffixes).of(self.head[CORE:])]])
         chosen = np.eye(CLASSES)[of]
         m = chosen.T @ table.astype(np.float64) @ chosen
-        beside = neighbour_counts(lessons, self.head, of_head, self.suffixes, self.of_block)
+        beside = neighbour_counts(lessons, self.head, of_head, self.of_block)
         self.classes = common.staged(word_classes(beside, m, self.head, of_head, self.suffixes, self.of_block), "classes")
         n, v = np.zeros(CLASSES), np.zeros(CLASSES)
         n[0], v[0] = self.c[0], self.c[0] > 0
@@ -401,23 +410,23 @@ class Model:
         byte each, with its sums over emissions."""
         rare = self.coded.select("uid", F.posexplode("rare").alias("k", "word")).join(self.classes, "word")
         rare = rare.groupBy("uid").agg(F.collect_list(F.struct("k", "class", "c")).alias("seen")).withColumnRenamed("uid", "seen_uid")
-        rows = self.coded.join(rare, F.col("uid") == F.col("seen_uid"), "left")
-        rows = rows.select("doc_id", "learns", "codes", "rare", F.col("seen.k").alias("k"), F.col("seen.class").alias("class"), F.col("seen.c").alias("c"))
+        rows = self.coded.drop("rare").join(rare, F.col("uid") == F.col("seen_uid"), "left")
+        rows = rows.select("doc_id", "learns", "codes", "blocks", F.col("seen.k").alias("k"), F.col("seen.class").alias("class"), F.col("seen.c").alias("c"))
         known, value = (self.c > 0).astype(np.int64), np.log10(self.c + 1)
         norm = float(np.log10(self.tokens + self.types + 1))
         class_norm = np.log10(self.class_tokens + self.class_types + 1)
-        sent = rows.sparkSession.sparkContext.broadcast((self.of_head, known, value, _Blocks(self.suffixes), self.of_block))
+        sent = rows.sparkSession.sparkContext.broadcast((self.of_head, known, value, self.of_block))
         id_type = rows.schema["doc_id"].dataType.simpleString()
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of_head, known, value, blocks, of_block = sent.value
+            of_head, known, value, of_block = sent.value
             for b in common.pieces_of(batches):
                 out: list[list] = [[] for _ in range(5)]
                 beside = zip(*(b.column(i).to_pylist() for i in (4, 5, 6)), strict=True)
-                for (codes, rare), (k, found, c) in zip(_coded(b.select(["codes", "rare"])), beside, strict=True):
+                for (codes, blocks), (k, found, c) in zip(_coded(b.select(["codes", "blocks"])), beside, strict=True):
                     of, there, worth = of_head, known, value
-                    if rare:
-                        of, there, worth = of_block[blocks.of(rare)], np.zeros(len(rare), np.int64), np.zeros(len(rare))
+                    if len(blocks):
+                        of, there, worth = of_block[blocks], np.zeros(len(blocks), np.int64), np.zeros(len(blocks))
                         if k:
                             of[k], there[k], worth[k] = found, 1, np.log10(np.array(c, np.float64) + 1)
                         of, there, worth = np.concatenate([of_head, of]), np.concatenate([known, there]), np.concatenate([value, worth])
