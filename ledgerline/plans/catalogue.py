@@ -375,7 +375,8 @@ def repeated_roles(t):
 
 @query("SELECT a.l_orderkey, a.l_linenumber, a.l_suppkey AS label, b.l_suppkey AS neighbour FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_discount > 0.05) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1")
 def label_neighbours(t):
-    cells = t.lineitem.groupBy("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("value")).agg(F.max(F.col("l_discount") > 0.05).alias("is_label"))
+    dealt = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_discount").repartition("l_orderkey")  # one shuffle serves all groupings
+    cells = dealt.groupBy("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("value")).agg(F.max(F.col("l_discount") > 0.05).alias("is_label"))
     return shape.label_neighbours(cells, ["l_orderkey"], "l_linenumber", "value", "is_label")
 
 
