@@ -94,9 +94,43 @@ def ship(spark: SparkSession) -> None:
     context._ledgerline_shipped = True
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: object) -> DataFrame:
+#: What a Python worker keeps from one task for the next, under the name of the operator that it serves; of one at a time.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(name: str) -> dict:
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = {}
+    return _KEPT[name]
+
+
+def _begin(keeps: str | None) -> None:
+    if keeps not in _KEPT:
+        _KEPT.clear()
+
+
+def _release() -> None:
+    """Gives memory that is free back to the system: workers live on, and what one stage took is missed by the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: object, keeps: str | None = None) -> DataFrame:
+    """mapInArrow by a function of this package. keeps: the name under which its workers keep things between tasks, if they do."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(keeps)
+        yield from work(batches)
+        _release()
+
+    return df.mapInArrow(task, schema)
 
 
 def ascii_lower(text: Column) -> Column:

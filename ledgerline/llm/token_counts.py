@@ -56,14 +56,16 @@ def read_ranks(path: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-_ENCODERS: dict[int, Encoder] = {}
+KEEPS = "tokens"
 
 
 def _encoder(key: int, ranks: dict[bytes, int]) -> Encoder:
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(ranks)
-    return _ENCODERS[key]
+    """One encoder a worker process and vocabulary."""
+    encoders = common.kept(KEEPS)
+    if key not in encoders:
+        encoders.clear()
+        encoders[key] = Encoder(ranks)
+    return encoders[key]
 
 
 def byte_offsets(raw: bytes, at: np.ndarray) -> np.ndarray:
@@ -157,7 +159,7 @@ def attribute(df: DataFrame, path: str = RANKS, rule: str = "largest") -> DataFr
             yield pa.RecordBatch.from_arrays([*kept.columns, *new], names=[*others, "section", "n_tokens", "n_crossing"])
 
     fields = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in others)
-    return common.map_arrow(df, work, f"{fields}section int, n_tokens double, n_crossing long")
+    return common.map_arrow(df, work, f"{fields}section int, n_tokens double, n_crossing long", KEEPS)
 
 
 def with_line_sections(docs: DataFrame) -> DataFrame:
