@@ -36,6 +36,7 @@ SPACE = "▁"
 UNKNOWN = 10.0
 NORMAL, UNKNOWN_TYPE, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _CACHE = 300_000
+_LONG = 4096
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -116,8 +117,11 @@ class Codec:
     def unit(self, text: str) -> tuple[int, ...]:
         """The ids of the best path through one unit."""
         n = len(text)
-        best = array("d", [0.0]) + array("d", [-np.inf]) * n
-        back_from, back_piece = array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)  # sixteen bytes a character
+        if n < _LONG:
+            best, back_from, back_piece = [-np.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        else:  # sixteen bytes a character
+            best, back_from, back_piece = array("d", [-np.inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
         done = 0  # positions up to here are final, but for unknown characters
         single = False
 
@@ -186,15 +190,16 @@ class Codec:
         return raw.decode("utf-8", "replace")
 
 
-_CODECS: dict[int, Codec] = {}
+KEEPS = "pieces"
 
 
 def _codec(key: int, model: Model) -> Codec:
     """One codec a worker process and model, so that what it remembers serves its later tasks as well."""
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(model)
-    return _CODECS[key]
+    codecs = common.kept(KEEPS)
+    if key not in codecs:
+        codecs.clear()
+        codecs[key] = Codec(model)
+    return codecs[key]
 
 
 def encode(df: DataFrame, path: str = MODEL, column: str = "text", check: bool = True) -> DataFrame:
@@ -223,7 +228,7 @@ def encode(df: DataFrame, path: str = MODEL, column: str = "text", check: bool =
             yield pa.RecordBatch.from_arrays([*b.columns, *new, *([pa.array(same, pa.bool_())] if check else [])], names=[*names, "ids", "n_pieces", "n_byte_pieces", *(["round_trip"] if check else [])])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return common.map_arrow(df, work, f"{fields}, ids array<int>, n_pieces long, n_byte_pieces long" + ", round_trip boolean" * check)
+    return common.map_arrow(df, work, f"{fields}, ids array<int>, n_pieces long, n_byte_pieces long" + ", round_trip boolean" * check, KEEPS)
 
 
 def decode(df: DataFrame, path: str = MODEL, column: str = "ids") -> DataFrame:
@@ -241,7 +246,7 @@ def decode(df: DataFrame, path: str = MODEL, column: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return common.map_arrow(df, work, f"{fields}, decoded string")
+    return common.map_arrow(df, work, f"{fields}, decoded string", KEEPS)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
